@@ -1,0 +1,31 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from panelwright.functions.numeric import col
+
+DEFAULT_SALTS = 16
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: list[Column],
+                how: str = "inner", salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Equi-join whose hot keys are spread over ``salts`` reducers.
+
+    ``small`` must hold at most one row per key; it is repeated ``salts``
+    times.  The salt is a hash of ``spread`` (columns that differ inside a hot
+    key), so a re-run task produces the same rows - no random salt.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = small.withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    return salted.join(copies, [*on, "__salt"], how).drop("__salt")
+
+
+def with_keys(df: DataFrame, keys: list[str]) -> list[Column]:
+    return [col(k) for k in keys]
