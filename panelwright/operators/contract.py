@@ -95,9 +95,11 @@ def request_rules(contract: Contract, columns: list[str], models: list[str],
 
 def validate_requests(requests: DataFrame, contract: Contract, models: list[str],
                       scenario: bool = False, period: str = "period") -> DataFrame:
-    """Add ``errors`` (codes of broken rules) and tidy the model name (trim, blank is NULL)."""
+    """Add ``violations`` (codes of broken rules) and tidy the model name (trim, blank is NULL)."""
+    if "violations" in requests.columns:
+        raise ValueError("request column name 'violations' is reserved")
     rules = request_rules(contract, requests.columns, models, scenario, period)
-    out = requests.withColumn("errors", F.array_compact(F.array(*[
+    out = requests.withColumn("violations", F.array_compact(F.array(*[
         F.when(test, F.lit(code)) for code, test in rules.items()
     ])))
     if "model_name" in requests.columns:
@@ -108,4 +110,4 @@ def validate_requests(requests: DataFrame, contract: Contract, models: list[str]
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean requests, and the rejected ones with their codes."""
-    return checked.filter(F.size("errors") == 0).drop("errors"), checked.filter(F.size("errors") > 0)
+    return checked.filter(F.size("violations") == 0).drop("violations"), checked.filter(F.size("violations") > 0)

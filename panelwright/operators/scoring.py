@@ -183,7 +183,7 @@ def year_range_requests(ranges: DataFrame, contract: Contract, start: str = "sta
         "range_order": col(start) > col(end),
         "range_span": (col(end) - col(start)) > contract.max_span,
     }
-    checked = ranges.withColumn("errors", F.array_compact(F.array(*[
+    checked = ranges.withColumn("violations", F.array_compact(F.array(*[
         F.when(test, F.lit(code)) for code, test in rules.items()
     ])))
     good, bad = split_valid(checked)

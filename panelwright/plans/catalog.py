@@ -5,6 +5,7 @@ from __future__ import annotations
 from panelwright.plans import (  # noqa: F401  (registration by import)
     catalog_models,
     catalog_panel,
+    catalog_scoring,
     catalog_stats,
 )
 from panelwright.plans.registry import REGISTRY
