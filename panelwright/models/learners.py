@@ -56,7 +56,7 @@ class AlphaRegression(Estimator):
             return base.copy({base.regParam: alpha, base.elasticNetParam: 1.0,
                               base.maxIter: 10000, base.tol: 1e-12}).fit(dataset)
         n, sd = dataset.agg(F.count(F.lit(1)), F.stddev_pop(col(label))).first()
-        penalty = alpha / n * sd if n and sd else 0.0
+        penalty = alpha / n * sd if n and sd else 0.0  # constant label: nothing to shrink
         return base.copy({base.regParam: penalty, base.elasticNetParam: 0.0,
                           base.solver: "normal"}).fit(dataset)
 
@@ -70,6 +70,7 @@ class Scaling:
     scales: list[float]
     n_rows: int
     distinct: int  # largest estimated distinct count of a feature
+    label_mean: float = 0.0
 
     def stage(self, inputs: dict[str, str] | None = None) -> SQLTransformer:
         """A saved, JVM-side stage adding ``__z<i>`` with the exact training statistics."""
@@ -82,17 +83,18 @@ class Scaling:
 
 def fit_scaling(train: DataFrame, features: list[str], target: str | None = None) -> Scaling:
     """One aggregate over the training rows; missing values are an error."""
+    label = col(target).cast("double") if target else F.lit(0.0)
     stats = train.agg(*[
         e for f in features for e in (
             F.avg(col(f)), F.stddev_pop(col(f)), F.count(col(f)),
             F.approx_count_distinct(col(f), 0.02),
         )
-    ], F.count(F.lit(1)), F.count(col(target) if target else F.lit(1))).first()
-    n = stats[-2]
+    ], F.count(F.lit(1)), F.count(label), F.avg(label)).first()
+    n = stats[-3]
     if n == 0:
         raise ValueError("no training rows")
     missing = [f for i, f in enumerate(features) if stats[4 * i + 2] < n]
-    if target and stats[-1] < n:
+    if target and stats[-2] < n:
         missing.append(target)
     if missing:
         raise ValueError(f"missing values in training columns: {missing}")
@@ -102,6 +104,7 @@ def fit_scaling(train: DataFrame, features: list[str], target: str | None = None
         [float(stats[4 * i + 1]) or 1.0 for i in range(len(features))],
         n,
         max(int(stats[4 * i + 3] * 1.1) + 1 for i in range(len(features))),
+        float(stats[-1]),
     )
 
 

@@ -7,6 +7,8 @@ import random
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,14 +85,53 @@ def summarize_scores(scores: DataFrame) -> DataFrame:
     return per.withColumn("rank_test_score", F.rank().over(w))
 
 
+def ridge_fold_scores(ready: DataFrame, n_features: int, alphas: list[float],
+                      label_mean: float) -> list[tuple[int, int, float]]:
+    """``(param, fold, R2)`` of every alpha and fold from one pass over the rows.
+
+    Ridge needs only sums of products.  They are gathered per fold in a single
+    map-side aggregate; training sums are the total less the fold, and the
+    d x d systems are solved on the driver.  Searching more alphas costs nothing.
+    """
+    xs = [F.col(f"__z{i}") for i in range(n_features)] + [F.col("__y") - label_mean]
+    size = len(xs)
+    upper = [(i, j) for i in range(size) for j in range(i, size)]
+    per = ready.groupBy("__fold").agg(
+        F.count(F.lit(1)), *[F.sum(x) for x in xs], *[F.sum(xs[i] * xs[j]) for i, j in upper],
+        F.min("__y"), F.max("__y"),
+    ).collect()
+    moments = {}
+    for row in per:
+        products = np.zeros((size, size))
+        for (i, j), v in zip(upper, row[2 + size:]):
+            products[i, j] = products[j, i] = v
+        moments[row[0]] = (row[1], np.array(row[2:2 + size]), products, row[-2] == row[-1])
+    total = [sum(m[k] for m in moments.values()) for k in range(3)]
+    out = []
+    for fold, (n, sums, products, constant) in sorted(moments.items()):
+        m = total[0] - n
+        means = (total[1] - sums) / m
+        centred = total[2] - products - m * np.outer(means, means)
+        for p, alpha in enumerate(alphas):
+            w = np.linalg.solve(centred[:-1, :-1] + alpha * np.eye(n_features), centred[:-1, -1])
+            # Residual = c . (x, y) + shift with c = (-w, 1).
+            c = np.append(-w, 1.0)
+            shift = -c @ means
+            sse = c @ products @ c + 2 * shift * (c @ sums) + n * shift * shift
+            sst = products[-1, -1] - sums[-1] ** 2 / n
+            out.append((p, fold, 0.0 if constant else 1 - sse / sst))
+    return out
+
+
 def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, scaling: Scaling,
          grid: dict[str, list] | None = None, fold: str = "fold", n_iter: int | None = None,
          seed: int = SEED, parallelism: int = 4) -> TuningResult:
     """Search, then refit the best parameters on all of ``train``.
 
-    Inputs are scaled once with the statistics of the whole training set.  The
-    fits of a fold run from ``parallelism`` driver threads; all models of a fold
-    are then scored by one aggregate.  The first best set wins a tie.
+    Inputs are scaled once with the statistics of the whole training set.  Ridge
+    is searched from sums of products in one pass.  For other learners the fits
+    of a fold run from ``parallelism`` driver threads; all models of a fold are
+    then scored by one aggregate.
     """
     spark = train.sparkSession
     grid = PARAM_GRIDS.get(spec.kind, {}) if grid is None else grid
@@ -101,10 +142,19 @@ def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, sc
     points = random_points(grid, n_iter, seed) if n_iter else grid_points(grid)
     prepared = scaling.stage().transform(train) if spec.linear else train
     x = vector_column(spec.linear)
+    kept = [f"__z{i}" for i in range(len(features))] if spec.linear else []
     ready = assembler(features, spec.linear).transform(prepared).select(
-        col(fold).alias("__fold"), col(target).alias("__y"), x).cache()
+        col(fold).alias("__fold"), col(target).cast("double").alias("__y"), x, *kept)
     bins = bins_for(scaling.distinct)
     rows = []
+    if spec.kind == "Ridge":
+        rows = [
+            (spec.name, p, {n: str(v) for n, v in points[p].items()}, k, float(score))
+            for p, k, score in ridge_fold_scores(ready, len(features), [p["alpha"] for p in points],
+                                                 scaling.label_mean)
+        ]
+        return _finish(spec, points, rows, train, features, target, scaling, seed)
+    ready = ready.drop(*kept).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_folds = ready.agg(F.max("__fold")).first()[0] + 1
         for k in range(n_folds):
@@ -129,10 +179,15 @@ def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, sc
             ]
     finally:
         ready.unpersist()
-    scores = spark.createDataFrame(rows, SCORES_SCHEMA)
-    means = [
-        sum(r[4] for r in rows if r[1] == i) / n_folds for i in range(len(points))
-    ]
+    return _finish(spec, points, rows, train, features, target, scaling, seed)
+
+
+def _finish(spec: ModelSpec, points: list[dict], rows: list[tuple], train: DataFrame,
+            features: list[str], target: str, scaling: Scaling, seed: int) -> TuningResult:
+    """Refit the parameter set with the best mean; the first one wins a tie."""
+    scores = train.sparkSession.createDataFrame(rows, SCORES_SCHEMA)
+    folds = len({r[3] for r in rows})
+    means = [sum(r[4] for r in rows if r[1] == i) / folds for i in range(len(points))]
     best = max(range(len(points)), key=lambda i: (means[i], -i))
     chosen = ModelSpec(spec.name, spec.kind, {**spec.params, **points[best]})
     return TuningResult(

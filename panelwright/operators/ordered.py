@@ -8,7 +8,7 @@ or as a halo of a few repeated rows.  An entity with a third of all rows is
 spread over many tasks and the result is exactly the unsegmented one.
 
 ``segment_rows=None`` uses one window per entity; choose it only for series
-whose length is bounded, such as annual data.
+whose length is bounded, such as annual data - ``choose_segments`` finds out.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import col, present
+from panelwright.functions.numeric import col, present, q
 
 SEGMENT_ROWS = 4096
 
@@ -27,10 +27,16 @@ def _keys(names: list[str]) -> list[Column]:
     return [col(n) for n in names]
 
 
+def _in_series(df: DataFrame, entity_cols: list[str], period: str) -> DataFrame:
+    """Rows without an entity or a period belong to no series."""
+    return df.dropna(subset=[q(k) for k in [*entity_cols, period]])
+
+
 def with_position(df: DataFrame, entity_cols: list[str] = ["entity"], period: str = "period",
                   segment_rows: int | None = SEGMENT_ROWS) -> DataFrame:
     """Add ``__pos`` (1-based row position in the entity), ``__n`` (its row count), ``__seg``."""
     keys = _keys(entity_cols)
+    df = _in_series(df, entity_cols, period)
     if segment_rows is None:
         whole = Window.partitionBy(*keys)
         return (df.withColumn(SEG, F.lit(0).cast("bigint"))
@@ -57,44 +63,70 @@ def _drop_marks(df: DataFrame) -> DataFrame:
     return df.drop(POS, TOTAL, SEG)
 
 
-def _nearest_filled(placed: DataFrame, columns: list[str], entity_cols: list[str],
-                    at: str, segmented: bool) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
-    """For each column: nearest filled value before and after each row, and its place ``at``."""
-    keys = _keys(entity_cols)
-    local = Window.partitionBy(*keys, SEG).orderBy(POS)
-    back = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = local.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    near: dict[str, dict[str, Column]] = {}
-    joined = placed
-    if segmented:
-        edges, carried = [], []
-        w = Window.partitionBy(*keys).orderBy(SEG)
-        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-        later = w.rowsBetween(1, Window.unboundedFollowing)
-        for i, c in enumerate(columns):
-            spot = F.when(col(c).isNotNull(), col(at))
-            edges += [
-                F.max_by(col(c), spot).alias(f"__tail_v{i}"), F.max(spot).alias(f"__tail_p{i}"),
-                F.min_by(col(c), spot).alias(f"__head_v{i}"), F.min(spot).alias(f"__head_p{i}"),
-            ]
-            carried += [
-                F.last(f"__tail_v{i}", True).over(earlier).alias(f"__pv{i}"),
-                F.last(f"__tail_p{i}", True).over(earlier).alias(f"__pp{i}"),
-                F.first(f"__head_v{i}", True).over(later).alias(f"__nv{i}"),
-                F.first(f"__head_p{i}", True).over(later).alias(f"__np{i}"),
-            ]
-        summary = placed.groupBy(*keys, SEG).agg(*edges)
-        joined = placed.join(summary.select(*keys, SEG, *carried), [*entity_cols, SEG])
+def series_span(df: DataFrame, period: str = "period") -> int:
+    """Upper bound of the rows of any one series: the number of periods in the data.
+
+    One aggregate over a single column.  (entity, period) is unique in a panel,
+    so no series can be longer.
+    """
+    low, high = df.agg(F.min(col(period)), F.max(col(period))).first()
+    return 0 if low is None else int(high) - int(low) + 1
+
+
+def choose_segments(df: DataFrame, period: str = "period",
+                    limit: int = SEGMENT_ROWS) -> int | None:
+    """``None`` (one window per entity) when every series provably fits, else the segment size.
+
+    Call it once on the narrowest source and hand the answer to every operator:
+    it saves them the extra pass that counts rows per segment.
+    """
+    return None if series_span(df, period) <= limit else limit
+
+
+def _numbered(df: DataFrame, entity_cols: list[str], period: str,
+              segment_rows: int | None) -> tuple[DataFrame, list[str]]:
+    """Add the segment and the row number ``__r`` inside it."""
+    seg = F.lit(0) if segment_rows is None else F.floor(col(period) / F.lit(segment_rows))
+    tagged = _in_series(df, entity_cols, period).withColumn(SEG, seg.cast("bigint"))
+    if segment_rows is not None:
+        # A join on the segment implies this filter on one side; stating it keeps both
+        # sides alike, so that they share one shuffle.
+        tagged = tagged.filter(F.col(SEG).isNotNull())
+    groups = entity_cols if segment_rows is None else [*entity_cols, SEG]
+    local = Window.partitionBy(*_keys(groups)).orderBy(col(period))
+    return tagged.withColumn("__r", F.row_number().over(local).cast("bigint")), groups
+
+
+def _carried_edges(numbered: DataFrame, columns: list[str], entity_cols: list[str], period: str,
+                   by_period: bool) -> DataFrame:
+    """Per segment: rows before it, and per column the nearest filled value outside it.
+
+    The edges come from the same shuffle as the rows (an aggregate on its keys);
+    only one row per segment moves on.
+    """
+    edges = []
     for i, c in enumerate(columns):
-        spot = F.when(col(c).isNotNull(), col(at))
-        found = {
-            "pv": F.last(col(c), True).over(back), "pp": F.last(spot, True).over(back),
-            "nv": F.first(col(c), True).over(ahead), "np": F.first(spot, True).over(ahead),
-        }
-        if segmented:
-            found = {k: F.coalesce(v, F.col(f"__{k}{i}")) for k, v in found.items()}
-        near[c] = found
-    return joined, near
+        spot = F.when(col(c).isNotNull(), col(period) if by_period else F.col("__r"))
+        edges += [
+            F.max_by(col(c), spot).alias(f"__tv{i}"), F.max(spot).alias(f"__tp{i}"),
+            F.min_by(col(c), spot).alias(f"__hv{i}"), F.min(spot).alias(f"__hp{i}"),
+        ]
+    keys = _keys(entity_cols)
+    summary = numbered.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("__rows"), *edges)
+    order = Window.partitionBy(*keys).orderBy(SEG)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    later = order.rowsBetween(1, Window.unboundedFollowing)
+    placed = summary.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    shift = F.lit(0) if by_period else F.col("__before")
+    carried = []
+    for i in range(len(columns)):
+        carried += [
+            F.last(f"__tv{i}", True).over(earlier).alias(f"__pv{i}"),
+            F.last(F.col(f"__tp{i}") + shift, True).over(earlier).alias(f"__pp{i}"),
+            F.first(f"__hv{i}", True).over(later).alias(f"__nv{i}"),
+            F.first(F.col(f"__hp{i}") + shift, True).over(later).alias(f"__np{i}"),
+        ]
+    return placed.select(*keys, SEG, "__before", *carried)
 
 
 def fill_missing(df: DataFrame, columns: list[str] | None = None,
@@ -113,20 +145,36 @@ def fill_missing(df: DataFrame, columns: list[str] | None = None,
     if by not in ("position", "period"):
         raise ValueError("by must be 'position' or 'period'")
     names = columns or [c for c in df.columns if c not in {*entity_cols, period}]
-    at = POS if by == "position" else period
-    placed = with_position(df, entity_cols, period, segment_rows)
-    joined, near = _nearest_filled(placed, names, entity_cols, at, segment_rows is not None)
-    steps = joined.select("*", *[
-        near[c][k].alias(f"__{k}_{i}") for i, c in enumerate(names) for k in ("pv", "pp", "nv", "np")
-    ])
+    by_period = by == "period"
+    rows, groups = _numbered(df, entity_cols, period, segment_rows)
+    segmented = segment_rows is not None
+    if segmented:
+        edges = _carried_edges(rows, names, entity_cols, period, by_period)
+        rows = rows.join(edges, [*entity_cols, SEG])
+    at = col(period) if by_period else F.col("__r") + (F.col("__before") if segmented else F.lit(0))
+    rows = rows.withColumn("__at", at.cast("double"))
+    local = Window.partitionBy(*_keys(groups)).orderBy(col(period))
+    back = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = local.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+
+    def nearest(c: str, i: int) -> list[Column]:
+        spot = F.when(col(c).isNotNull(), F.col("__at"))
+        found = {
+            "pv": F.last(col(c), True).over(back), "pp": F.last(spot, True).over(back),
+            "nv": F.first(col(c), True).over(ahead), "np": F.first(spot, True).over(ahead),
+        }
+        return [
+            (F.coalesce(e, F.col(f"__{k}{i}")) if segmented else e).alias(f"__{k}_{i}")
+            for k, e in found.items()
+        ]
+
+    steps = rows.select("*", *[e for i, c in enumerate(names) for e in nearest(c, i)])
 
     def filled(i: int, c: str) -> Column:
         pv, pp, nv, np_ = (F.col(f"__{k}_{i}") for k in ("pv", "pp", "nv", "np"))
         if method == "ffill_bfill":
             return F.coalesce(col(c), pv, nv)
-        between = pv + (nv - pv) * F.try_divide(
-            (col(at) - pp).cast("double"), (np_ - pp).cast("double")
-        )
+        between = pv + (nv - pv) * F.try_divide(F.col("__at") - pp, np_ - pp)
         return F.coalesce(col(c), between, pv, nv)
 
     place = {c: i for i, c in enumerate(names)}
@@ -179,7 +227,7 @@ def add_lag_features(df: DataFrame, columns: list[str], lags: int = 1,
             col(f"{c}_lag{k}") for c in names for k in range(1, lags + 1)
         ])
     values = [c for c in out.columns if c not in {*entity_cols, period}]
-    return out.dropna(how="any", subset=[f"`{c}`" for c in values]) if values else out
+    return out.dropna(how="any", subset=[q(c) for c in values]) if values else out
 
 
 def moving_average(df: DataFrame, columns: list[str], window: int = 5,

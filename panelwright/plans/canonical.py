@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators.columns import add_year_column
-from panelwright.operators.ordered import fill_missing
+from panelwright.operators.ordered import choose_segments, fill_missing
 from panelwright.operators.reshape import pivot_first
+from panelwright.session import materialize
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 EVENT_DAY_ZERO = "2024-01-01"
@@ -34,9 +35,21 @@ def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_first(events_long(spark, sf_dir), indicators=EVENT_TYPES)
 
 
+def events_segments(spark: SparkSession, sf_dir: str) -> int | None:
+    """One look at the day range decides how series are cut; it reads a single column."""
+    return choose_segments(events_long(spark, sf_dir).select("period"))
+
+
 def events_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filled panel with the year feature; series that never occur stay out."""
-    return add_year_column(fill_missing(events_panel(spark, sf_dir)).dropna())
+    panel = events_panel(spark, sf_dir)
+    return add_year_column(
+        fill_missing(panel, segment_rows=events_segments(spark, sf_dir)).dropna())
+
+
+def events_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filled panel as a table: model fitting passes over it many times, the raw events once."""
+    return materialize(events_filled(spark, sf_dir), "events-filled")
 
 
 def month_index(column: str):

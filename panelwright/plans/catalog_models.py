@@ -17,6 +17,7 @@ from panelwright.operators import stats as ST
 from panelwright.operators.screening import leakage_alarm
 from panelwright.plans import canonical as P
 from panelwright.plans import sql as S
+from panelwright.plans import workflow as WF
 from panelwright.plans.catalog_panel import FOLD_SQL
 from panelwright.plans.flagship import flagship
 from panelwright.plans.registry import query
@@ -33,7 +34,7 @@ LINEAR_SPECS = [
 
 
 def split_panel(spark, sf_dir):
-    panel = P.events_filled(spark, sf_dir).select("entity", "period", *FEATURES, TARGET)
+    panel = P.events_stored(spark, sf_dir).select("entity", "period", *FEATURES, TARGET)
     return O.temporal_split(panel, TRAIN_END)
 
 
@@ -179,9 +180,12 @@ RIDGE_GRID = {"alpha": [0.1, 100.0, 10000.0]}
 
 def ridge_search(spark, sf_dir) -> TU.TuningResult:
     train, _ = split_panel(spark, sf_dir)
-    folded = O.contiguous_folds(train, 5)
+    segments = P.events_segments(spark, sf_dir)
+    folded = O.contiguous_folds(train, 5, segment_rows=segments).persist()
     scaling = LN.fit_scaling(folded, ["click"], TARGET)
-    return TU.tune(LN.ModelSpec("Ridge", "Ridge"), folded, ["click"], TARGET, scaling, RIDGE_GRID)
+    found = TU.tune(LN.ModelSpec("Ridge", "Ridge"), folded, ["click"], TARGET, scaling, RIDGE_GRID)
+    folded.unpersist()
+    return found
 
 
 @query("F8 D7 A7", S.with_(CV, "SELECT param_id, alpha, CAST(k AS INTEGER) AS fold, score FROM sc", ["score"]))
@@ -202,11 +206,12 @@ def grid_search_summary(spark, sf_dir) -> DataFrame:
 
 @query("F9", None)
 def random_search(spark, sf_dir) -> DataFrame:
-    """Two seeded draws from the default ridge grid."""
+    """Two seeded draws from the default lasso grid."""
     train, _ = split_panel(spark, sf_dir)
-    folded = O.contiguous_folds(train, 3)
+    folded = O.contiguous_folds(train, 3, segment_rows=P.events_segments(spark, sf_dir)).persist()
     scaling = LN.fit_scaling(folded, FEATURES, TARGET)
-    found = TU.tune(LN.ModelSpec("Ridge", "Ridge"), folded, FEATURES, TARGET, scaling, n_iter=2)
+    found = TU.tune(LN.ModelSpec("Lasso", "Lasso"), folded, FEATURES, TARGET, scaling, n_iter=2)
+    folded.unpersist()
     return found.results.select("param_id", "mean_test_score", "std_test_score", "rank_test_score")
 
 
@@ -273,6 +278,14 @@ def metrics_report_roundtrip(spark, sf_dir) -> DataFrame:
     return RP.read_metrics(spark, path).unionByName(RP.read_metrics(spark, path + "-absent"))
 
 
+@query("F16 B8 B13 D2 E1 E2 B12 D5", S.with_(S.MODELS, "SELECT * FROM metrics", ["MAE", "RMSE", "R2"]))
+def training_run(spark, sf_dir) -> DataFrame:
+    """The whole training workflow from the wide panel to metrics."""
+    done = WF.training_run(P.events_panel(spark, sf_dir), TARGET, features=["click", "error", "absent"],
+                           train_end=TRAIN_END, sparse_threshold=0.7, specs=LINEAR_SPECS)
+    return done.trained.metrics
+
+
 # --- scenarios over models ---------------------------------------------------------
 
 SCENARIO_END = 34
