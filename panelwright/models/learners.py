@@ -72,12 +72,19 @@ class Scaling:
     distinct: int  # largest estimated distinct count of a feature
     label_mean: float = 0.0
 
-    def stage(self, inputs: dict[str, str] | None = None) -> SQLTransformer:
-        """A saved, JVM-side stage adding ``__z<i>`` with the exact training statistics."""
-        terms = [
-            f"({q(f)} - CAST('{m!r}' AS DOUBLE)) / CAST('{s!r}' AS DOUBLE) AS __z{i}"
-            for i, (f, m, s) in enumerate(zip(self.features, self.means, self.scales))
-        ]
+    def stage(self, linear: bool) -> SQLTransformer:
+        """A saved, JVM-side stage adding the model inputs ``__x<i>``.
+
+        Linear models get standardised values with the exact training
+        statistics, trees the raw ones.  The plain names also keep dots and
+        spaces of indicator names away from the vector assembler.
+        """
+        def term(f: str, m: float, s: float) -> str:
+            raw = f"CAST({q(f)} AS DOUBLE)"
+            return f"({raw} - CAST('{m!r}' AS DOUBLE)) / CAST('{s!r}' AS DOUBLE)" if linear else raw
+
+        terms = [f"{term(f, m, s)} AS __x{i}"
+                 for i, (f, m, s) in enumerate(zip(self.features, self.means, self.scales))]
         return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
@@ -173,21 +180,19 @@ def build_learner(kind: str, label: str, features_col: str, params: dict | None
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def vector_column(linear: bool) -> str:
-    return "__x_scaled" if linear else "__x_raw"
+INPUTS = "__inputs"
+LABEL = "__label"
 
 
-def assembler(features: list[str], linear: bool) -> VectorAssembler:
-    names = [f"__z{i}" for i in range(len(features))] if linear else list(features)
+def assembler(n_features: int) -> VectorAssembler:
     # "keep" marks a missing input as NaN; the scoring step nulls such rows.
-    return VectorAssembler(inputCols=names, outputCol=vector_column(linear), handleInvalid="keep")
+    return VectorAssembler(inputCols=[f"__x{i}" for i in range(n_features)], outputCol=INPUTS,
+                           handleInvalid="keep")
 
 
 def fit_model(spec: ModelSpec, train: DataFrame, features: list[str], target: str,
               scaling: Scaling, seed: int = SEED) -> PipelineModel:
-    """Scaler (linear models only), assembler and learner as one saved unit."""
-    stages = [scaling.stage()] if spec.linear else []
-    stages += [assembler(features, spec.linear),
-               build_learner(spec.kind, target, vector_column(spec.linear), spec.params, seed,
-                             bins_for(scaling.distinct))]
-    return Pipeline(stages=stages).fit(train)
+    """Input scaling, assembler and learner as one saved unit."""
+    learner = build_learner(spec.kind, LABEL, INPUTS, spec.params, seed, bins_for(scaling.distinct))
+    stages = [scaling.stage(spec.linear), assembler(len(features)), learner]
+    return Pipeline(stages=stages).fit(train.withColumn(LABEL, col(target).cast("double")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col
 from panelwright.models.learners import (
+    INPUTS,
     SEED,
     ModelSpec,
     Scaling,
@@ -22,7 +23,6 @@ from panelwright.models.learners import (
     bins_for,
     build_learner,
     fit_model,
-    vector_column,
 )
 from panelwright.models.scores import metric_columns
 
@@ -93,7 +93,7 @@ def ridge_fold_scores(ready: DataFrame, n_features: int, alphas: list[float],
     map-side aggregate; training sums are the total less the fold, and the
     d x d systems are solved on the driver.  Searching more alphas costs nothing.
     """
-    xs = [F.col(f"__z{i}") for i in range(n_features)] + [F.col("__y") - label_mean]
+    xs = [F.col(f"__x{i}") for i in range(n_features)] + [F.col("__y") - label_mean]
     size = len(xs)
     upper = [(i, j) for i in range(size) for j in range(i, size)]
     per = ready.groupBy("__fold").agg(
@@ -140,11 +140,9 @@ def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, sc
                             spark.createDataFrame([], SCORES_SCHEMA),
                             summarize_scores(spark.createDataFrame([], SCORES_SCHEMA)))
     points = random_points(grid, n_iter, seed) if n_iter else grid_points(grid)
-    prepared = scaling.stage().transform(train) if spec.linear else train
-    x = vector_column(spec.linear)
-    kept = [f"__z{i}" for i in range(len(features))] if spec.linear else []
-    ready = assembler(features, spec.linear).transform(prepared).select(
-        col(fold).alias("__fold"), col(target).cast("double").alias("__y"), x, *kept)
+    kept = [f"__x{i}" for i in range(len(features))]
+    ready = assembler(len(features)).transform(scaling.stage(spec.linear).transform(train)).select(
+        col(fold).alias("__fold"), col(target).cast("double").alias("__y"), INPUTS, *kept)
     bins = bins_for(scaling.distinct)
     rows = []
     if spec.kind == "Ridge":
@@ -161,7 +159,7 @@ def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, sc
             inside, held = ready.filter(F.col("__fold") != k), ready.filter(F.col("__fold") == k)
 
             def fit(point: dict):
-                learner = build_learner(spec.kind, "__y", x, {**spec.params, **point}, seed, bins)
+                learner = build_learner(spec.kind, "__y", INPUTS, {**spec.params, **point}, seed, bins)
                 return learner.fit(inside)
 
             with ThreadPool(min(parallelism, len(points))) as pool:
