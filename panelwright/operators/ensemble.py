@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col
@@ -81,9 +81,13 @@ def compare_scenarios(predictions: DataFrame, latest: DataFrame, methods: list[s
 def latest_target(panel: DataFrame, target: str, entity_cols: list[str] = ["entity"],
                   period: str = "period") -> DataFrame:
     """Last non-null target per entity."""
-    known = F.when(col(target).isNotNull(), col(period))
     return panel.groupBy(*[col(k) for k in entity_cols]).agg(
-        F.max_by(col(target).cast("double"), known).alias("current"))
+        last_known(target, period).alias("current"))
+
+
+def last_known(target: str, period: str = "period") -> Column:
+    """Aggregate: the value of the latest row that has one."""
+    return F.max_by(col(target).cast("double"), F.when(col(target).isNotNull(), col(period)))
 
 
 def overall_spread(predictions: DataFrame, value: str = "prediction") -> DataFrame:

@@ -19,60 +19,56 @@ RULES = ["last_step", "anchored"]
 # Fixed value: observations a trend looks back.
 LOOK_BACK = 5
 
-TREND_FIELDS = ["n_rows", "n", "mean", "low", "high", "last", "previous", "oldest", "span",
-                "last_seen"]
 
-
-def trend_state(panel: DataFrame, indicators: list[str], entity_cols: list[str] = ["entity"],
+def trend_table(panel: DataFrame, indicators: list[str], entity_cols: list[str] = ["entity"],
                 period: str = "period", last_period: int | None = None) -> DataFrame:
-    """One row per (entity, indicator) with all a trend needs.
+    """One row per entity with all a trend needs; ``__t<i>_*`` belongs to ``indicators[i]``.
 
-    Counts and means are map-side aggregates.  The last five observations come
-    from a rank filter that Spark applies before the shuffle as well, so a hot
-    entity sends five rows per map task, not its history.
+    Counts, means and extremes are map-side aggregates of the wide panel.  The
+    last five observations come from a rank filter that Spark applies before
+    the shuffle as well, so a hot entity sends five rows per indicator and map
+    task, not its history.
     """
     history = panel if last_period is None else panel.filter(col(period) <= last_period)
-    cells = melt(history, [*entity_cols, period], indicators)
-    keys = [*entity_cols, "indicator"]
-    totals = cells.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n"),
-        F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"),
+    keys = [col(k) for k in entity_cols]
+    totals = history.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n_rows"),
+        *[e.alias(f"__t{i}_{n}") for i, c in enumerate(indicators) for n, e in (
+            ("n", F.count(col(c))), ("mean", F.avg(col(c))),
+            ("low", F.min(col(c)).cast("double")), ("high", F.max(col(c)).cast("double")))],
     )
-    newest = Window.partitionBy(*[col(k) for k in keys]).orderBy(col(period).desc())
+    newest = Window.partitionBy(*keys, F.col("indicator")).orderBy(col(period).desc())
     recent = (
-        cells.filter("value is not null")
+        melt(history, [*entity_cols, period], indicators)
+        .filter("value is not null")
         .withColumn("__r", F.row_number().over(newest))
         .filter(F.col("__r") <= LOOK_BACK)
-        .groupBy(*[col(k) for k in keys])
-        .agg(
-            F.max(F.when(F.col("__r") == 1, F.col("value"))).alias("last"),
-            F.max(F.when(F.col("__r") == 2, F.col("value"))).alias("previous"),
-            F.max_by("value", "__r").alias("oldest"),
-            F.max("__r").cast("int").alias("span"),
-            F.max(col(period)).alias("last_seen"),
-        )
     )
-    return totals.join(recent, keys, "left")
 
-
-def trend_wide(state: DataFrame, indicators: list[str],
-               entity_cols: list[str] = ["entity"]) -> DataFrame:
-    """One row per entity; ``__t<i>`` is the trend of ``indicators[i]``."""
-    packed = F.struct(*TREND_FIELDS)
-    return state.groupBy(*[col(k) for k in entity_cols]).agg(*[
-        F.max_by(packed, F.when(F.col("indicator") == c, F.lit(1))).alias(f"__t{i}")
-        for i, c in enumerate(indicators)
+    def mine(c: str, value: Column, rank: int | None = None) -> Column:
+        hit = F.col("indicator") == c
+        return F.when(hit if rank is None else hit & (F.col("__r") == rank), value)
+
+    tails = recent.groupBy(*keys).agg(*[
+        e.alias(f"__t{i}_{n}") for i, c in enumerate(indicators) for n, e in (
+            ("last", F.max(mine(c, F.col("value"), 1))),
+            ("previous", F.max(mine(c, F.col("value"), 2))),
+            ("oldest", F.max_by("value", mine(c, F.col("__r")))),
+            ("span", F.max(mine(c, F.col("__r")))),
+            ("last_seen", F.max(mine(c, col(period)))),
+        )
     ])
+    return totals.join(tails, entity_cols, "left")
 
 
-def trend_value(t: str, year: Column, method: Column, rule: str,
+def trend_value(i: int, year: Column, method: Column, rule: str,
                 last_period: int | None = None) -> Column:
-    """Extrapolated value at ``year`` from the trend struct column ``t``."""
+    """Extrapolated value of the i-th indicator of a trend table at ``year``."""
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
 
     def f(name: str) -> Column:
-        return F.col(f"{t}.{name}")
+        return F.col(f"__t{i}_{name}")
 
     slope = (f("last") - f("oldest")) / f("span")
     if rule == "last_step":
@@ -118,10 +114,9 @@ def scenario(panel: DataFrame, indicators: list[str], last_period: int, target_p
     if on_short not in ("raise", "skip"):
         raise ValueError("on_short must be 'raise' or 'skip'")
     seen_to = last_period if rule == "last_step" else None
-    wide = trend_wide(trend_state(panel, indicators, entity_cols, period, seen_to),
-                      indicators, entity_cols)
+    wide = trend_table(panel, indicators, entity_cols, period, seen_to)
     if rule == "last_step":
-        enough = F.col("__t0.n_rows") >= 2
+        enough = F.col("__n_rows") >= 2
         if on_short == "skip":
             wide = wide.filter(enough)
         else:
@@ -133,6 +128,6 @@ def scenario(panel: DataFrame, indicators: list[str], last_period: int, target_p
     ).withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
     return rows.select(
         *[col(k) for k in entity_cols], col(period), "method",
-        *[trend_value(f"__t{i}", col(period), F.col("method"), rule, last_period).alias(c)
+        *[trend_value(i, col(period), F.col("method"), rule, last_period).alias(c)
           for i, c in enumerate(indicators)],
     )

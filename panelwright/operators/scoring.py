@@ -11,7 +11,7 @@ from panelwright.functions.numeric import col, present
 from panelwright.functions.skew import salted_join
 from panelwright.models.scores import score_models, score_wide
 from panelwright.operators.contract import Contract, split_valid, validate_requests
-from panelwright.operators.extrapolate import trend_state, trend_value, trend_wide
+from panelwright.operators.extrapolate import trend_table, trend_value
 
 # Upper bound, level and outlook of each band.
 STRESS_BANDS = [
@@ -88,13 +88,13 @@ def historical_defaults(keys: DataFrame, panel: DataFrame, contract: Contract,
         F.lit(True).alias("__known"),
     )
     columns = [f.column for f in fields]
-    trends = trend_wide(trend_state(panel, columns, entity_cols, period), columns, entity_cols)
+    trends = trend_table(panel, columns, entity_cols, period)
     joined = keys.select(*[col(k) for k in on]).distinct().join(history, on, "left").join(
         trends, entity_cols, "left")
     linear = F.lit("linear")
 
     def value(i: int, default: float) -> Column:
-        trend = trend_value(f"__t{i}", col(period), linear, "anchored")
+        trend = trend_value(i, col(period), linear, "anchored")
         return F.coalesce(F.when(F.col("__known"), F.col(f"__h{i}")).otherwise(trend),
                           F.lit(float(default)))
 
@@ -214,10 +214,10 @@ def score_scenario_requests(requests: DataFrame, panel: DataFrame, models: dict[
         validate_requests(requests, contract, list(models), scenario=True, period=period))
     columns = [f.column for f in contract.features]
     on = [*entity_cols, period, "method"]
-    trends = trend_wide(trend_state(panel, columns, entity_cols, period), columns, entity_cols)
+    trends = trend_table(panel, columns, entity_cols, period)
     values = good.select(*[col(c) for c in on]).distinct().join(trends, entity_cols, "left").select(
         *[col(c) for c in on],
-        *[trend_value(f"__t{i}", col(period), col("method"), "anchored").alias(f.name)
+        *[trend_value(i, col(period), col("method"), "anchored").alias(f.name)
           for i, f in enumerate(contract.features)],
     )
     explicit = salted_join(good, values, on, [col(request_id)], "left")

@@ -31,28 +31,38 @@ def unpivot_row(df: DataFrame, keys: list[str], cells: list[dict[str, Column]])
 
 
 def column_statistics(df: DataFrame, columns: list[str], by: list[str] = ["entity"],
-                      period: str = "period") -> DataFrame:
+                      period: str = "period", bounded: bool = False) -> DataFrame:
     """Mean, median, sample std, min, max and latest per column.
 
-    ``latest`` is the value of the last row, even if it is missing.
+    ``latest`` is the value of the last row, even if it is missing.  ``bounded``
+    promises groups of limited size (see ``choose_segments``): the median then
+    joins the one aggregate; otherwise it is found without gathering a group.
     """
+    if bounded:
+        return _statistics(df, columns, by, period, {"median": F.median})
+    basic = _statistics(df, columns, by, period, {})
+    medians = exact_median(melt(df, by, columns, name="column"), [*by, "column"])
+    return basic.join(medians, [*by, "column"], "left").select(
+        *_keys(by), "column", "mean", "median", "std", "min", "max", "latest"
+    )
+
+
+def _statistics(df: DataFrame, columns: list[str], by: list[str], period: str,
+                extra: dict) -> DataFrame:
+    stats = ["mean", *extra, "std", "min", "max", "latest"]
     wide = df.groupBy(*_keys(by)).agg(*[
         expr.alias(f"__{stat}{i}")
         for i, c in enumerate(columns)
         for stat, expr in (
             ("mean", F.avg(col(c))), ("std", F.stddev_samp(col(c))), ("min", F.min(col(c))),
             ("max", F.max(col(c))), ("latest", F.max_by(col(c).cast("double"), col(period))),
+            *[(name, fn(col(c).cast("double"))) for name, fn in extra.items()],
         )
     ])
-    basic = unpivot_row(wide, by, [
-        {"column": F.lit(c), **{s: F.col(f"__{s}{i}").cast("double")
-                                for s in ("mean", "std", "min", "max", "latest")}}
+    return unpivot_row(wide, by, [
+        {"column": F.lit(c), **{s: F.col(f"__{s}{i}").cast("double") for s in stats}}
         for i, c in enumerate(columns)
     ])
-    medians = exact_median(melt(df, by, columns, name="column"), [*by, "column"])
-    return basic.join(medians, [*by, "column"], "left").select(
-        *_keys(by), "column", "mean", "median", "std", "min", "max", "latest"
-    )
 
 
 def period_statistics(df: DataFrame, columns: list[str], ranges: dict[str, tuple],

@@ -52,6 +52,16 @@ def events_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(events_filled(spark, sf_dir), "events-filled")
 
 
+def events_panel_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide panel as a table, the form a scoring service reads."""
+    return materialize(events_panel(spark, sf_dir), "events-panel")
+
+
+def order_segments(spark: SparkSession, sf_dir: str) -> int | None:
+    months = table(spark, sf_dir, "orders").select(month_index("o_orderdate").alias("period"))
+    return choose_segments(months)
+
+
 def month_index(column: str):
     c = F.col(column)
     return ((F.year(c) - ORDER_YEAR_ZERO) * 12 + F.month(c)).cast("int")

@@ -273,7 +273,8 @@ def profile(spark, sf_dir) -> DataFrame:
 def lag_features(spark, sf_dir) -> DataFrame:
     """Row-shift lags; rows without full history drop out; unknown columns are skipped."""
     panel = P.events_filled(spark, sf_dir).select("entity", "period", "click", "view")
-    return O.add_lag_features(panel, ["click", "view", "unknown"], lags=2)
+    return O.add_lag_features(panel, ["click", "view", "unknown"], lags=2,
+                              segment_rows=P.events_segments(spark, sf_dir))
 
 
 @query("D1", S.with_(S.PANEL + """, lagged AS (
@@ -339,7 +340,8 @@ def moving_average_gaps(spark, sf_dir) -> DataFrame:
     FROM orders_panel WINDOW w AS (PARTITION BY entity ORDER BY period ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
                      ["revenue", "revenue_ma"]))
 def moving_average(spark, sf_dir) -> DataFrame:
-    return O.moving_average(P.orders_panel(spark, sf_dir).select("entity", "period", "revenue"), ["revenue"])
+    return O.moving_average(P.orders_panel(spark, sf_dir).select("entity", "period", "revenue"), ["revenue"],
+                            segment_rows=P.order_segments(spark, sf_dir))
 
 
 @query("D5", S.with_(S.PANEL, """SELECT CASE WHEN period <= 20 THEN 'train' ELSE 'test' END AS split,

@@ -96,13 +96,13 @@ def validate_requests(spark, sf_dir) -> DataFrame:
 def request_defaults(spark, sf_dir) -> DataFrame:
     """Explicit value, else history of the day, else linear trend, else constant."""
     good, _ = CT.split_valid(CT.validate_requests(requests(spark, sf_dir), CONTRACT, MODELS))
-    resolved = G.resolve_features(good, P.events_panel(spark, sf_dir), CONTRACT)
+    resolved = G.resolve_features(good, P.events_panel_stored(spark, sf_dir), CONTRACT)
     return resolved.select("request_id", "entity", "period", "clicks", "errors")
 
 
 def scored_requests(spark, sf_dir):
     models = linear_models(spark, sf_dir).models
-    return G.score_requests(requests(spark, sf_dir), P.events_panel(spark, sf_dir), models, CONTRACT, DEFAULT)
+    return G.score_requests(requests(spark, sf_dir), P.events_panel_stored(spark, sf_dir), models, CONTRACT, DEFAULT)
 
 
 SCORED_BODY = """SELECT request_id, entity, period, model_used, prediction,
@@ -178,7 +178,7 @@ def scenario_requests(spark, sf_dir) -> DataFrame:
         F.when(kind == "error", "average").when(kind == "view", "last_value")
         .when(kind == "purchase", "cubic").otherwise("linear").alias("method"),
         F.when(kind == "signup", "Ridge").alias("model_name"))
-    scored, _ = G.score_scenario_requests(asked, P.events_panel(spark, sf_dir),
+    scored, _ = G.score_scenario_requests(asked, P.events_panel_stored(spark, sf_dir),
                                           linear_models(spark, sf_dir).models, CONTRACT, DEFAULT)
     return scored.select("request_id", "entity", "period", "method", "model_used", "prediction",
                          F.regexp_extract("interpretation", r"^(.* at )-?[0-9.]+%\. This indicates .*\.$", 1)
@@ -192,7 +192,7 @@ def stream_scoring(spark, sf_dir) -> DataFrame:
     asked = requests(spark, sf_dir)
     asked.repartition(6).write.parquet(inbox)
     run = RS.start_scoring(RS.request_stream(spark, inbox, asked.schema, files_per_batch=4),
-                           P.events_panel(spark, sf_dir), linear_models(spark, sf_dir).models,
+                           P.events_panel_stored(spark, sf_dir), linear_models(spark, sf_dir).models,
                            CONTRACT, DEFAULT, out, scratch_path(spark, "stream-checkpoint"))
     run.awaitTermination()
     return scored_view(RS.read_scored(spark, out))

@@ -35,7 +35,8 @@ NUMBERS = ["mean", "median", "std", "min", "max", "latest"]
 
 @query("C6", S.with_(S.ORDERS_PANEL, stats_sql("orders_panel", ORDERS), NUMBERS))
 def column_statistics(spark, sf_dir) -> DataFrame:
-    return ST.column_statistics(P.orders_panel(spark, sf_dir), ORDERS)
+    few = P.order_segments(spark, sf_dir) is None
+    return ST.column_statistics(P.orders_panel(spark, sf_dir), ORDERS, bounded=few)
 
 
 @query("C6", S.with_(S.PANEL, stats_sql("panel", TYPES), NUMBERS))

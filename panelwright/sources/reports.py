@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col
 from panelwright.models.scores import IMPORTANCE_SCHEMA, METRICS_SCHEMA
-from panelwright.operators.ensemble import latest_target
+from panelwright.operators.ensemble import last_known
 from panelwright.sources.files import path_exists
 
 PREDICTIONS_SCHEMA = "model string, prediction double, scenario_method string"
@@ -61,11 +61,11 @@ def forecast_report(predictions: DataFrame, panel: DataFrame, target: str, last_
                     entity_cols: list[str] = ["entity"], period: str = "period") -> DataFrame:
     """Prediction per entity, model and scenario beside the last known target and the data range."""
     history = panel.filter(col(period) <= last_period)
-    span = history.groupBy(*[col(k) for k in entity_cols]).agg(
+    facts = history.groupBy(*[col(k) for k in entity_cols]).agg(
+        last_known(target, period).alias("current"),
         F.min(col(period)).alias("data_start"), F.max(col(period)).alias("data_end"))
-    latest = latest_target(history, target, entity_cols, period)
     return (
-        predictions.join(latest.join(span, entity_cols), entity_cols, "left")
+        predictions.join(facts, entity_cols, "left")
         .select(*[col(k) for k in entity_cols], "model",
                 col(period).alias("prediction_period"), "prediction",
                 F.col("method").alias("scenario_method"),

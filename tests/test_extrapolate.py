@@ -81,5 +81,5 @@ def test_bad_arguments(panel):
 
 
 def test_tail_is_limited_before_the_shuffle(panel):
-    plan = X.trend_state(panel, list(SERIES))._jdf.queryExecution().executedPlan().toString()
+    plan = X.trend_table(panel, list(SERIES))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
