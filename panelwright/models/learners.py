@@ -88,13 +88,17 @@ class Scaling:
         return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
-def fit_scaling(train: DataFrame, features: list[str], target: str | None = None) -> Scaling:
-    """One aggregate over the training rows; missing values are an error."""
+def fit_scaling(train: DataFrame, features: list[str], target: str | None = None,
+                count_distinct: bool = True) -> Scaling:
+    """One aggregate over the training rows; missing values are an error.
+
+    Distinct values matter to trees only (one split candidate each).
+    """
     label = col(target).cast("double") if target else F.lit(0.0)
     stats = train.agg(*[
         e for f in features for e in (
             F.avg(col(f)), F.stddev_pop(col(f)), F.count(col(f)),
-            F.approx_count_distinct(col(f), 0.02),
+            F.approx_count_distinct(col(f), 0.02) if count_distinct else F.lit(0),
         )
     ], F.count(F.lit(1)), F.count(label), F.avg(label)).first()
     n = stats[-3]

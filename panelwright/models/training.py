@@ -54,9 +54,11 @@ def train_models(train: DataFrame, test: DataFrame, features: list[str], target:
     needed = [*keys, *features, target, *([folds] if folds else [])]
     narrow = train.select(*[col(c) for c in needed]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scaling = fit_scaling(narrow, features, target)
+        wanted = specs or default_specs()
+        scaling = fit_scaling(narrow, features, target,
+                              count_distinct=not all(s.linear for s in wanted))
         models, tuning = {}, {}
-        for spec in specs or default_specs():
+        for spec in wanted:
             if tune_first:
                 tuning[spec.name] = tune(spec, narrow, features, target, scaling,
                                          grid=grids.get(spec.kind, {}), fold=folds, seed=seed,

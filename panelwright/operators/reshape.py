@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import col, melt, q
+from panelwright.functions.numeric import col
 
 # Up to this many indicators one aggregate with a filtered expression per
 # indicator is used: one shuffle on (entity, period).  Beyond it the generated
 # code gets too large and Spark's own two-step pivot takes over.
 MAX_FILTERED_AGGREGATES = 128
+# A panel has one column per indicator; Spark's pivot has the same limit.
+MAX_INDICATORS = 10_000
 
 
 def list_indicators(long: DataFrame, indicator: str = "indicator") -> DataFrame:
@@ -19,8 +21,12 @@ def list_indicators(long: DataFrame, indicator: str = "indicator") -> DataFrame:
 
 
 def indicator_names(long: DataFrame, indicator: str = "indicator") -> list[str]:
-    """Indicator names on the driver: they become column names, so they are few."""
-    return [r[0] for r in list_indicators(long, indicator).filter("indicator is not null").collect()]
+    """Indicator names on the driver: they become column names, so they must be few."""
+    found = long.select(col(indicator).alias("indicator")).distinct().filter("indicator is not null")
+    names = sorted(r[0] for r in found.limit(MAX_INDICATORS + 1).collect())
+    if len(names) > MAX_INDICATORS:
+        raise ValueError(f"more than {MAX_INDICATORS} indicators cannot become columns")
+    return names
 
 
 def _pivot(long: DataFrame, keys: list[str], names: list[str], indicator: str, one) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelwright.functions.numeric import col
 from panelwright.operators.contract import Contract, validate_requests
 from panelwright.operators.scoring import score_requests
 
@@ -30,10 +29,12 @@ def start_scoring(requests: DataFrame, panel: DataFrame, models: dict[str, Pipel
     makes the sink exactly-once; rejected requests land beside the scored ones.
     """
     def handle(batch: DataFrame, number: int) -> None:
-        scored, rejected = score_requests(batch, panel, models, contract, default_model,
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        scored, rejected = score_requests(held, panel, models, contract, default_model,
                                           entity_cols, period, request_id)
         scored.write.mode("overwrite").parquet(f"{output}/scored/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{output}/rejected/batch={number}")
+        held.unpersist()
 
     return (requests.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint)

@@ -113,3 +113,19 @@ def test_panel_files(spark, frame, tmp_path):
         PN.write_panel(df, path, fmt)
         back = PN.read_panel(spark, path, fmt, "period", ["entity"])
         assert rows(back, "entity") == [("x", 2000, 1.5), ("y", 2001, None)]
+
+
+def test_file_order_over_many_splits(spark, tmp_path):
+    """First value in (file, row) order, however the files are cut into tasks."""
+    header = RAW.splitlines()[0]
+    for f, sign in (("a.csv", 1), ("b.csv", -1)):
+        lines = [f"Northland,NTH,x,X,{2000 + i % 50},{sign * i}" for i in range(4000)]
+        (tmp_path / f).write_text("\n".join([header, *lines]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = L.read_long(spark, str(tmp_path))
+        assert raw.rdd.getNumPartitions() > 4
+        panel = R.pivot_first(L.canonical_long(raw))
+        assert rows(panel.select("period", "x"), "period") == [(2000 + i, float(i)) for i in range(50)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
