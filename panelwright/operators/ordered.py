@@ -113,9 +113,9 @@ def _carried_edges(numbered: DataFrame, columns: list[str], entity_cols: list[st
         ]
     keys = _keys(entity_cols)
     summary = numbered.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("__rows"), *edges)
-    order = Window.partitionBy(*keys).orderBy(SEG)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    later = order.rowsBetween(1, Window.unboundedFollowing)
+    by_entity = Window.partitionBy(*keys)
+    earlier = by_entity.orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+    later = by_entity.orderBy(F.col(SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
     placed = summary.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
     shift = F.lit(0) if by_period else F.col("__before")
     carried = []
@@ -123,8 +123,8 @@ def _carried_edges(numbered: DataFrame, columns: list[str], entity_cols: list[st
         carried += [
             F.last(f"__tv{i}", True).over(earlier).alias(f"__pv{i}"),
             F.last(F.col(f"__tp{i}") + shift, True).over(earlier).alias(f"__pp{i}"),
-            F.first(f"__hv{i}", True).over(later).alias(f"__nv{i}"),
-            F.first(F.col(f"__hp{i}") + shift, True).over(later).alias(f"__np{i}"),
+            F.last(f"__hv{i}", True).over(later).alias(f"__nv{i}"),
+            F.last(F.col(f"__hp{i}") + shift, True).over(later).alias(f"__np{i}"),
         ]
     return placed.select(*keys, SEG, "__before", *carried)
 
@@ -154,14 +154,17 @@ def fill_missing(df: DataFrame, columns: list[str] | None = None,
     at = col(period) if by_period else F.col("__r") + (F.col("__before") if segmented else F.lit(0))
     rows = rows.withColumn("__at", at.cast("double"))
     local = Window.partitionBy(*_keys(groups)).orderBy(col(period))
+    # Both looks use a frame that grows row by row: Spark re-reads the rest of the
+    # group for every row of an "unbounded following" frame, which is quadratic.
     back = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = local.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*_keys(groups)).orderBy(col(period).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
 
     def nearest(c: str, i: int) -> list[Column]:
         spot = F.when(col(c).isNotNull(), F.col("__at"))
         found = {
             "pv": F.last(col(c), True).over(back), "pp": F.last(spot, True).over(back),
-            "nv": F.first(col(c), True).over(ahead), "np": F.first(spot, True).over(ahead),
+            "nv": F.last(col(c), True).over(ahead), "np": F.last(spot, True).over(ahead),
         }
         return [
             (F.coalesce(e, F.col(f"__{k}{i}")) if segmented else e).alias(f"__{k}_{i}")

@@ -21,7 +21,7 @@ from panelwright.plans import workflow as WF
 from panelwright.plans.catalog_panel import FOLD_SQL
 from panelwright.plans.flagship import flagship
 from panelwright.plans.registry import query
-from panelwright.session import scratch_path
+from panelwright.session import materialize, scratch_path
 from panelwright.sources import reports as RP
 
 FEATURES = ["year", "click", "error"]
@@ -178,12 +178,13 @@ CV = S.MODELS + f""", tp AS (
 RIDGE_GRID = {"alpha": [0.1, 100.0, 10000.0]}
 
 
-def ridge_search(spark, sf_dir) -> TU.TuningResult:
+def ridge_search(spark, sf_dir, n_iter: int | None = None) -> TU.TuningResult:
     train, _ = split_panel(spark, sf_dir)
     segments = P.events_segments(spark, sf_dir)
     folded = O.contiguous_folds(train, 5, segment_rows=segments).persist()
     scaling = LN.fit_scaling(folded, ["click"], TARGET)
-    found = TU.tune(LN.ModelSpec("Ridge", "Ridge"), folded, ["click"], TARGET, scaling, RIDGE_GRID)
+    found = TU.tune(LN.ModelSpec("Ridge", "Ridge"), folded, ["click"], TARGET, scaling, RIDGE_GRID,
+                    n_iter=n_iter)
     folded.unpersist()
     return found
 
@@ -204,34 +205,79 @@ def grid_search_summary(spark, sf_dir) -> DataFrame:
     return results.select("param_id", "mean_test_score", "std_test_score", "rank_test_score")
 
 
-@query("F9", None)
+# The two penalties that seed 42 draws from RIDGE_GRID.
+DRAWN_SQL = "gr(param_id, alpha) AS (VALUES (0, 10000.0::DOUBLE), (1, 0.1::DOUBLE)),"
+ALL_SQL = "gr(param_id, alpha) AS (VALUES (0, 0.1::DOUBLE), (1, 100.0::DOUBLE), (2, 10000.0::DOUBLE)),"
+
+
+@query("F9", S.with_(CV.replace(ALL_SQL, DRAWN_SQL), """SELECT param_id, max(alpha) AS alpha,
+    avg(score) AS mean_test_score FROM sc GROUP BY 1""", ["mean_test_score"]))
 def random_search(spark, sf_dir) -> DataFrame:
-    """Two seeded draws from the default lasso grid."""
-    train, _ = split_panel(spark, sf_dir)
-    folded = O.contiguous_folds(train, 3, segment_rows=P.events_segments(spark, sf_dir)).persist()
-    scaling = LN.fit_scaling(folded, FEATURES, TARGET)
-    found = TU.tune(LN.ModelSpec("Lasso", "Lasso"), folded, FEATURES, TARGET, scaling, n_iter=2)
-    folded.unpersist()
-    return found.results.select("param_id", "mean_test_score", "std_test_score", "rank_test_score")
+    """Two seeded draws from the grid."""
+    found = ridge_search(spark, sf_dir, n_iter=2)
+    drawn = found.scores.select("param_id", F.col("params")["alpha"].cast("double").alias("alpha")).distinct()
+    return found.results.join(drawn, "param_id").select("param_id", "alpha", "mean_test_score")
 
 
-@query("F5", S.with_(S.LINES_PANEL + """, tr AS (SELECT period AS x, quantity AS y FROM lines_panel WHERE period <= 50),
+STUMP = S.LINES_PANEL + """, tr AS (SELECT period AS x, quantity AS y FROM lines_panel WHERE period <= 50),
   v AS (SELECT DISTINCT x FROM tr), c AS (SELECT (x + lead(x) OVER (ORDER BY x)) / 2.0 AS t FROM v),
   e AS (SELECT t, sum(CASE WHEN x <= t THEN y END) AS sl, count(CASE WHEN x <= t THEN 1 END) AS nl,
                sum(CASE WHEN x > t THEN y END) AS sr, count(CASE WHEN x > t THEN 1 END) AS nr
         FROM tr, c WHERE t IS NOT NULL GROUP BY t),
-  b AS (SELECT t, sl / nl AS l, sr / nr AS r FROM e ORDER BY sl * sl / nl + sr * sr / nr DESC, t LIMIT 1)""",
-  """SELECT entity, period, CASE WHEN period <= t THEN l ELSE r END AS prediction
-     FROM lines_panel, b WHERE period > 50""", ["prediction"]))
-def decision_stump(spark, sf_dir) -> DataFrame:
-    """A tree of depth one finds the best single split of the month."""
-    panel = P.lines_panel(spark, sf_dir).withColumn("year", F.col("period"))
+  b AS (SELECT t, sl / nl AS l, sr / nr AS r FROM e ORDER BY sl * sl / nl + sr * sr / nr DESC, t LIMIT 1)"""
+STUMP_BODY = """SELECT entity, period, CASE WHEN period <= t THEN l ELSE r END AS prediction
+    FROM lines_panel, b WHERE period > 50"""
+
+
+def stump_run(spark, sf_dir, kind: str, params: dict) -> tuple[TR.Trained, DataFrame]:
+    """One split of the month: a learner that takes no random sample must find the best one."""
+    panel = materialize(P.lines_panel(spark, sf_dir), "lines-panel").withColumn("year", F.col("period"))
     train, test = O.temporal_split(panel, 50)
-    fitted = TR.train_models(train, test, ["year"], "quantity",
-                             [LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 1})])
+    spec = LN.ModelSpec(kind, kind, {"max_depth": 1, **params})
+    return TR.train_models(train, test, ["year"], "quantity", [spec]), panel
+
+
+@query("F5", S.with_(STUMP, STUMP_BODY, ["prediction"]))
+def decision_stump(spark, sf_dir) -> DataFrame:
+    return stump_run(spark, sf_dir, "DecisionTree", {})[0].predictions.select("entity", "period", "prediction")
+
+
+@query("F7", S.with_(STUMP, STUMP_BODY, ["prediction"]))
+def boosting_of_one_stump(spark, sf_dir) -> DataFrame:
+    """The first boosted tree has full weight."""
+    fitted, _ = stump_run(spark, sf_dir, "GradientBoosting", {"n_estimators": 1})
     return fitted.predictions.select("entity", "period", "prediction")
 
 
+@query("F14", S.with_(STUMP + """, r AS (SELECT min(period) AS lo, max(period) AS hi FROM lines_panel),
+  g AS (SELECT CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 9.0::DOUBLE AS feature_value FROM range(10) AS n(i), r)""",
+  """SELECT point, feature_value, CASE WHEN feature_value <= t THEN l ELSE r END AS prediction, 'year' AS feature
+     FROM g, b""", ["feature_value", "prediction"]))
+def partial_dependence_tree(spark, sf_dir) -> DataFrame:
+    fitted, panel = stump_run(spark, sf_dir, "DecisionTree", {})
+    return M.partial_dependence(panel, fitted.models["DecisionTree"], ["year"], "year", 10)
+
+
+@query("F11 D8", S.with_(S.LINES_PANEL + """, tr AS (
+    SELECT 'year' AS f, CAST(period AS DOUBLE) AS x, gross AS y FROM lines_panel WHERE period <= 50
+    UNION ALL SELECT 'quantity', quantity, gross FROM lines_panel WHERE period <= 50),
+  v AS (SELECT DISTINCT f, x FROM tr),
+  c AS (SELECT f, (x + lead(x) OVER (PARTITION BY f ORDER BY x)) / 2.0 AS t FROM v),
+  e AS (SELECT f, t, sum(CASE WHEN x <= t THEN y END) AS sl, count(CASE WHEN x <= t THEN 1 END) AS nl,
+               sum(CASE WHEN x > t THEN y END) AS sr, count(CASE WHEN x > t THEN 1 END) AS nr
+        FROM tr JOIN c USING (f) WHERE t IS NOT NULL GROUP BY f, t),
+  b AS (SELECT f FROM e ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)""",
+  """SELECT feature, CASE WHEN feature = f THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance,
+     CAST(CASE WHEN feature = f THEN 1 ELSE 2 END AS INTEGER) AS rank, 'DecisionTree' AS model
+     FROM b, (VALUES ('year'), ('quantity')) AS n(feature)""", ["importance"]))
+def stump_importance(spark, sf_dir) -> DataFrame:
+    """A single split puts all importance on one feature."""
+    panel = materialize(P.lines_panel(spark, sf_dir), "lines-panel").withColumn("year", F.col("period"))
+    train, test = O.temporal_split(panel, 50)
+    return TR.train_models(train, test, ["year", "quantity"], "gross",
+                           [LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 1})]).importance
+
+
 def tree_set(spark, sf_dir) -> TR.Trained:
     train, test = split_panel(spark, sf_dir)
     return TR.train_models(train, test, FEATURES, TARGET, [
@@ -251,14 +297,6 @@ def tree_importance(spark, sf_dir) -> DataFrame:
     return tree_set(spark, sf_dir).importance
 
 
-@query("F14", None)
-def partial_dependence_tree(spark, sf_dir) -> DataFrame:
-    train, test = split_panel(spark, sf_dir)
-    fitted = TR.train_models(train, test, FEATURES, TARGET,
-                             [LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 4})])
-    return M.partial_dependence(test, fitted.models["DecisionTree"], FEATURES, "error", 10)
-
-
 @query("A9", S.with_(S.MODELS, "SELECT entity, period, model, prediction FROM pred", ["prediction"]))
 def saved_models_predict(spark, sf_dir) -> DataFrame:
     """Models written and read back give the same predictions."""
