@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import col
-
 DEFAULT_SALTS = 16
 
 
@@ -25,7 +23,3 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: list[Co
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
-
-
-def with_keys(df: DataFrame, keys: list[str]) -> list[Column]:
-    return [col(k) for k in keys]

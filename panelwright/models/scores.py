@@ -97,15 +97,11 @@ def best_model_row(metrics: DataFrame) -> DataFrame:
 def model_listing(metrics: DataFrame, available: list[str], features: list[str],
                   digits: int = 4) -> DataFrame:
     """Loaded models with rounded metrics, the default flagged, and the feature list."""
-    top = best_model_row(metrics).select(F.col("model").alias("__best"))
-    return (
-        metrics.filter(F.col("model").isin(available))
-        .join(F.broadcast(top))  # one row
-        .select(
-            "model", *[F.round(m, digits).alias(m.lower()) for m in ("MAE", "RMSE", "R2")],
-            (F.col("model") == F.col("__best")).alias("is_default"),
-            F.array(*[F.lit(f) for f in features]).alias("feature_columns"),
-        )
+    default = best_model(metrics)
+    return metrics.filter(F.col("model").isin(available)).select(
+        "model", *[F.round(m, digits).alias(m.lower()) for m in ("MAE", "RMSE", "R2")],
+        (F.col("model") == default).alias("is_default"),
+        F.array(*[F.lit(f) for f in features]).alias("feature_columns"),
     )
 
 

@@ -22,10 +22,13 @@ def impute_mean(df: DataFrame, columns: list[str], by: list[str] = [],
     means = df.groupBy(*[col(b) for b in by]).agg(*[
         F.avg(col(c)).alias(f"__m{i}") for i, c in enumerate(columns)
     ])
-    if by:
-        joined = salted_join(df, means, by, [col(s) for s in (spread or ["period"])], "left")
-    else:
-        joined = df.join(F.broadcast(means))  # one row
+    if not by:
+        known = means.first()  # one number per column
+        return df.select(*[
+            F.coalesce(col(c), F.lit(known[columns.index(c)])).alias(c) if c in columns else col(c)
+            for c in df.columns
+        ])
+    joined = salted_join(df, means, by, [col(s) for s in (spread or ["period"])], "left")
     place = {c: i for i, c in enumerate(columns)}
     return joined.select(*[
         F.coalesce(col(c), F.col(f"__m{place[c]}")).alias(c) if c in place else col(c)

@@ -121,7 +121,7 @@ def scenario(panel: DataFrame, indicators: list[str], last_period: int, target_p
             wide = wide.filter(enough)
         else:
             wide = wide.filter(F.when(enough, F.lit(True)).otherwise(
-                F.raise_error(F.lit("Not enough data to extrapolate trends")).cast("boolean")
+                F.raise_error(F.lit("fewer than two rows to extrapolate from")).cast("boolean")
             ))
     rows = wide.withColumn(
         period, F.explode(F.sequence(F.lit(last_period + 1), F.lit(target_period)))

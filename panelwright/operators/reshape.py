@@ -87,7 +87,7 @@ def pivot_strict(long: DataFrame, entity_cols: list[str] = ["entity"], period: s
         repeated = F.count(F.when(hit, F.lit(1))) > 1
         return F.when(
             repeated,
-            F.raise_error(F.lit("Index contains duplicate entries, cannot reshape")).cast("double"),
+            F.raise_error(F.lit("a cell of the panel occurs more than once")).cast("double"),
         ).otherwise(F.max(F.when(hit, col(value))))
 
     return _pivot(long.filter(col(indicator).isin(names)), [*entity_cols, period], names,

@@ -347,8 +347,8 @@ CALM = ["linear", "last_value", "average"]
 
 def scenario_rows(spark, sf_dir) -> DataFrame:
     """Scenario inputs from the raw panel of the users that have a filled series."""
-    panel = P.events_panel(spark, sf_dir)
-    known = P.events_filled(spark, sf_dir).select("entity").distinct()
+    panel = P.events_panel_stored(spark, sf_dir)
+    known = P.events_stored(spark, sf_dir).select("entity").distinct()
     return X.scenario(panel.join(known, "entity", "left_semi"), ["click", "error"], 29, SCENARIO_END, CALM)
 
 

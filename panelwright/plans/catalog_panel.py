@@ -90,7 +90,7 @@ def panel_csv_roundtrip(spark, sf_dir) -> DataFrame:
         F.col("entity").cast("string").alias("entity"), "period", "gross", "tax")
 
 
-def world_bank_shape(spark, sf_dir) -> DataFrame:
+def long_file_shape(spark, sf_dir) -> DataFrame:
     return P.events_long(spark, sf_dir).select(
         F.when(F.col("indicator") != "error", F.concat(F.lit("user "), F.col("entity"))).alias("Country Name"),
         F.col("indicator").alias("Indicator Name"), F.col("period").cast("string").alias("Year"),
@@ -106,7 +106,7 @@ def world_bank_shape(spark, sf_dir) -> DataFrame:
     AND indicator IN ('click', 'error', 'view') GROUP BY period""", ["click", "error", "view"]))
 def long_layout_to_panel(spark, sf_dir) -> DataFrame:
     """Long layout recognised by column names; name contains the text or is missing; mean pivot."""
-    return L.to_panel(world_bank_shape(spark, sf_dir), entity_text="user 1",
+    return L.to_panel(long_file_shape(spark, sf_dir), entity_text="user 1",
                       indicators=["click", "error", "view"])
 
 

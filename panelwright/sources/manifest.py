@@ -73,7 +73,7 @@ def save_manifest(manifest: DataFrame, path: str) -> None:
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Manifest not found: {path}")
+        raise FileNotFoundError(f"no manifest at {path}")
     return spark.read.schema(MANIFEST_SCHEMA + ", saved_at timestamp").parquet(path)
 
 

@@ -69,7 +69,7 @@ def test_hand_value(frame):
 
 def test_short_history(frame):
     df = frame("entity string, period int, w double", [("a", 2015, 1.0), ("b", 2014, 1.0), ("b", 2015, 2.0)])
-    with pytest.raises(Exception, match="Not enough data"):
+    with pytest.raises(Exception, match="fewer than two rows"):
         X.scenario(df, ["w"], 2015, 2016).collect()
     assert [r[0] for r in rows(X.scenario(df, ["w"], 2015, 2016, on_short="skip"))] == ["b"]
 
