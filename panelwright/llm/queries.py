@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import mixing, quality_rules, rule_classifier, url_filter, vectors, warc
+from panelwright.llm import (
+    mixing,
+    packing,
+    quality_rules,
+    rule_classifier,
+    token_files,
+    url_filter,
+    vectors,
+    warc,
+)
 from panelwright.llm.common import held, table
 from panelwright.session import scratch_path
 
@@ -23,6 +32,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    return token_files.with_crc(token_files.read(spark, path))
+
+
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return vectors.nearest(rows, rows.where("vec_id % 20 = 0"))
@@ -34,6 +49,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("mixed.size") * F.col("mixed.copies")).alias("taken"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = packing.PackSpec()
+    cut = token_files.with_crc(packing.pieces(table(spark, sf_dir, "documents"), spec))
+    return packing.place(cut, spec).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+                                           "ids_crc32", "sequence_id", "offset")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, archives = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
     warc.write_monolithic(warc.with_revisits(table(spark, sf_dir, "pages")), raw)
@@ -59,7 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "left_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_vector_search, op4_mixing, op8_warc, op9_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op8_warc, op9_quality_classifier,
                                    op10_quality_rules)}
 ORACLES: dict[str, str] = {}
 
