@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.llm import (
     mixing,
+    near_dup,
     packing,
     quality_rules,
     rule_classifier,
@@ -56,6 +57,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "ids_crc32", "sequence_id", "offset")
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, archives = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
     warc.write_monolithic(warc.with_revisits(table(spark, sf_dir, "pages")), raw)
@@ -81,7 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "left_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op8_warc, op9_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op7_near_dup, op8_warc, op9_quality_classifier,
                                    op10_quality_rules)}
 ORACLES: dict[str, str] = {}
 
