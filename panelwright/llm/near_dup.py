@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.llm.common import fresh
 from panelwright.llm.graph import star_components
 from panelwright.llm.tokens import slices
 from panelwright.session import materialize
@@ -393,9 +394,10 @@ def keep_one(docs: DataFrame, spec: DedupSpec | None = None) -> DataFrame:
 
     Rows that repeat a kept doc_id go too; rows without a doc_id stay.
     """
-    kept = components(docs, spec).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
+    one, nth = fresh(docs, "kept_id"), fresh(docs, "nth")
+    kept = components(docs, spec).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(one)).distinct()
     named = docs.where("doc_id IS NOT NULL")
-    rows = named.join(kept, named["doc_id"].cast("long") == kept["_kept"]).drop("_kept")
-    nth = "_nth"
-    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(f"{nth} = 1").drop(nth)
+    rows = named.join(kept, named["doc_id"].cast("long") == kept[one]).drop(one)
+    order = Window.partitionBy("doc_id").orderBy("text")
+    rows = rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
     return rows.unionByName(docs.where("doc_id IS NULL"))

@@ -188,13 +188,11 @@ def strip_lines(docs: DataFrame, spec: RuleSpec | None = None) -> DataFrame:
 
     n_chars, where the table has it, becomes the length of the new text.
     """
-    verdicts = judge(docs, spec).where("kept").select("doc_id", "source", "digest", "removed").distinct()
-    keys = [F.col(k).alias(f"_{k}") for k in ("doc_id", "source", "digest")]
-    verdicts = verdicts.select(*keys, F.col("removed").alias("_removed"))
-    same = (docs["doc_id"].eqNullSafe(verdicts["_doc_id"]) & docs["source"].eqNullSafe(verdicts["_source"])
-            & (digest(docs["text"]) == verdicts["_digest"]))
-    named = fresh(docs, "removed")
-    rows = docs.join(verdicts, same).drop("_doc_id", "_source", "_digest").withColumnRenamed("_removed", named)
+    named = fresh(docs, "verdict")
+    verdicts = judge(docs, spec).where("kept").select(F.struct("doc_id", "source", "digest", "removed").alias(named)).distinct()
+    same = (docs["doc_id"].eqNullSafe(verdicts[named]["doc_id"]) & docs["source"].eqNullSafe(verdicts[named]["source"])
+            & (digest(docs["text"]) == verdicts[named]["digest"]))
+    rows = docs.join(verdicts, same).withColumn(named, F.col(named)["removed"])
     out_schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

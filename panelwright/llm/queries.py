@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.llm import (
+    maxent_lm,
     mixing,
     near_dup,
     packing,
@@ -57,6 +58,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "ids_crc32", "sequence_id", "offset")
 
 
+def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = maxent_lm.score(table(spark, sf_dir, "documents"), ~held(F.col("doc_id"), 7, 2))
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.components(table(spark, sf_dir, "documents"))
 
@@ -86,7 +93,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "left_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op7_near_dup, op8_warc, op9_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op6_maxent_lm, op7_near_dup, op8_warc, op9_quality_classifier,
                                    op10_quality_rules)}
 ORACLES: dict[str, str] = {}
 
