@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.tokens import Encoder, id_lists, slices
+from panelwright.llm.tokens import encoder, id_lists, slices
 from panelwright.session import materialize
 
 
@@ -131,12 +131,12 @@ def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json"
     most = spec.tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, chunk = Encoder(tokenizer), TaskContext.get().partitionId()
+        known, chunk = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(most + 1, dtype=np.int64)
         for batch in batches:
             texts, names = batch.column("text"), batch.column("doc_id")
             for a, b in slices(texts):
-                ids, sizes = encoder.encode(texts.slice(a, b - a), end_id)
+                ids, sizes = known.encode(texts.slice(a, b - a), end_id)
                 cuts = [cut(s, most) for s in sizes.tolist()]
                 per_doc = np.array([len(c) for c in cuts])
                 length = np.array([x for c in cuts for x in c], dtype=np.int64)

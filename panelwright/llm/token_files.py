@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.tokens import Encoder, crc_of_lists, id_lists, slices
+from panelwright.llm.tokens import encoder, crc_of_lists, id_lists, slices
 
 FILE_SCHEMA = "doc_id long, shard int, shard_start long, n_tokens long, ids array<int>"
 
@@ -26,11 +26,11 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, start = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        known, shard, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("text")
             for a, b in slices(texts):
-                ids, sizes = encoder.encode(texts.slice(a, b - a), end_id)
+                ids, sizes = known.encode(texts.slice(a, b - a), end_id)
                 before = start + sizes.cumsum() - sizes
                 start += int(sizes.sum())
                 yield pa.RecordBatch.from_arrays(

@@ -7,10 +7,12 @@ gives the ids of the whole; parts repeat, and a task remembers those it has seen
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -51,10 +53,8 @@ def blank_led(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(marked, mark)
 
 
-#: Ways to cut texts, by tokenizer file.
-CUTS: dict[str, Callable] = {"word_bpe_49k.json": blank_separated, "byte_bpe_50k.json": blank_led}
 SLICE_CHARS = 4_000_000
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 
 def without_tail(part: str) -> str:
@@ -73,8 +73,38 @@ def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - into, size) + np.arange(int(size.sum()))
 
 
+@dataclass(frozen=True)
+class Cut:
+    """How texts are cut for a tokenizer file, and how words of letters can be encoded many at a time.
+
+    Such words are joined by ``glue`` and told apart by the tokens that carry
+    ``mark`` at the end (or, ``leads``, at the start) of a word.
+    """
+
+    parts: Callable[[pa.Array], pa.ListArray]
+    glue: str
+    mark: str
+    leads: bool
+
+    def of_letters(self, unit: str) -> bool:
+        if self.leads:
+            return unit[:1] == " " and unit[1:].isalpha()
+        return unit.isalpha() and unit.lower().isalpha()
+
+
+#: By tokenizer file: words end in ``</w>``, or start with the letter that stands for a blank.
+CUTS = {"word_bpe_49k.json": Cut(blank_separated, " ", "</w>", False), "byte_bpe_50k.json": Cut(blank_led, "", "\u0120", True)}
+JOINED = 100
+
+
+@functools.cache
+def encoder(file: str) -> Encoder:
+    """The process's encoder for a tokenizer file: later tasks of a worker find what it remembers."""
+    return Encoder(file)
+
+
 class Encoder:
-    """Ids of texts; remembers up to about a million distinct parts, then starts afresh."""
+    """Ids of texts; remembers up to REMEMBERED distinct parts, then starts afresh."""
 
     def __init__(self, file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,23 +112,45 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.tokenizer.model._resize_cache(0)  # every part comes once
+        self.tokenizer.model._resize_cache(0)  # every unit comes once
         self.cut = CUTS[file]
+        vocabulary = self.tokenizer.get_vocab()
+        self.marked = np.zeros(max(vocabulary.values()) + 1, bool)
+        at_edge = str.startswith if self.cut.leads else str.endswith
+        self.marked[[i for t, i in vocabulary.items() if at_edge(t, self.cut.mark)]] = True
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(size.sum())), size
+
+    def units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, number of ids of each)."""
+        letters = np.fromiter(map(self.cut.of_letters, units), bool, len(units))
+        words = [units[i] for i in np.flatnonzero(letters).tolist()]
+        rest = [units[i] for i in np.flatnonzero(~letters).tolist()]
+        ids, _ = self._encoded([self.cut.glue.join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)])
+        edges = np.flatnonzero(self.marked[ids])
+        if len(edges) != len(words):
+            raise ValueError("joined words do not come apart again")
+        size = np.diff(edges, append=len(ids)) if self.cut.leads else np.diff(edges, prepend=-1)
+        more, more_size = self._encoded(rest)
+        sizes, first = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        sizes[letters], sizes[~letters] = size, more_size
+        first[letters], first[~letters] = np.cumsum(size) - size, len(ids) + np.cumsum(more_size) - more_size
+        return np.append(ids, more)[spread(first, sizes)], sizes
+
     def learn(self, parts: list[str]) -> None:
         """Encode parts not met before: bases and tails apart, each distinct one once."""
         base = [without_tail(p) for p in parts]
         units = dict.fromkeys(base)
         units.update(dict.fromkeys(p[len(b):] for p, b in zip(parts, base, strict=True)))
-        encoded = self.tokenizer.encode_batch_fast(list(units), add_special_tokens=False)
-        lists = [e.ids for e in encoded]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(size.sum()))
+        ids, size = self.units(list(units))
         first = np.cumsum(size) - size
         number = dict(zip(units, range(len(units)), strict=True))
         both = np.empty(2 * len(parts), np.int64)
@@ -114,7 +166,7 @@ class Encoder:
         """(all ids, number of ids of each text), ``end`` behind each text."""
         if len(self.place) > REMEMBERED:
             self.forget()
-        parts = self.cut(texts)
+        parts = self.cut.parts(texts)
         coded = parts.flatten().dictionary_encode()
         values = coded.dictionary.to_pylist()
         new = [v for v in values if v not in self.place]
