@@ -31,9 +31,14 @@ def to_period(c: Column) -> Column:
     return to_number(c).try_cast("int")
 
 
+def stripped(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def name_key(c: Column) -> Column:
     """Comparison form of an entity name."""
-    return F.lower(F.trim(c))
+    return F.lower(stripped(c))
 
 
 def pair_corr(a: Column, b: Column) -> Column:

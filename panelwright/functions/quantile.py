@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.skew import salted_join
-
 # The sketch answers within 1/ACCURACY of the rank; the bracket is far wider.
 ACCURACY = 10_000
 MARGIN = 0.001
+ZONES = 64
 
 
 def exact_median(cells: DataFrame, keys: list[str], value: str = "value",
@@ -19,7 +18,10 @@ def exact_median(cells: DataFrame, keys: list[str], value: str = "value",
     1. Count equal values; partial counts combine map-side.
     2. A sketch per key gives two values that enclose the middle ranks.
     3. Only distinct values inside that bracket (about 0.2 percent of
-       the ranks) are ordered; those below it are just counted.
+       the ranks) are kept; those below it are just counted.
+    4. They are cut into ZONES zones of about equal size.  Counts per zone tell
+       which zones hold the middle ranks, and only these are ordered, each in a
+       task of its own: at most about 0.2 percent / ZONES of a group's rows.
     """
     if not keys:
         raise ValueError("exact_median needs at least one key column")
@@ -30,7 +32,7 @@ def exact_median(cells: DataFrame, keys: list[str], value: str = "value",
                             F.lit(ACCURACY)).alias("__b"),
     ).select(*keys, "__n", F.col("__b")[0].alias("__lo"), F.col("__b")[1].alias("__hi"))
     counted = filled.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    placed = salted_join(counted, bracket, keys, [F.col(value)])
+    placed = counted.join(bracket, keys)
     # Values below the bracket shrink to one row per key and map task.
     zone = F.when(F.col(value) < F.col("__lo"), F.col("__lo")).otherwise(F.col(value))
     kept = (
@@ -41,13 +43,22 @@ def exact_median(cells: DataFrame, keys: list[str], value: str = "value",
         .groupBy(*keys, "__n", "__v")
         .agg(F.sum("__under").alias("__under"), F.sum("__at").alias("__at"))
     )
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = kept.select(
-        *keys, "__n", "__v", "__at",
-        F.sum(F.col("__under") + F.col("__at")).over(w).alias("__upto"),
-    )
+    cuts = kept.filter("__at > 0").groupBy(*keys).agg(F.percentile_approx(
+        "__v", F.array(*[F.lit(i / ZONES) for i in range(1, ZONES)]), F.lit(ACCURACY)).alias("__cuts"))
+    zoned = kept.join(cuts, keys).withColumn(
+        "__zone", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    earlier = Window.partitionBy(*keys).orderBy("__zone").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = zoned.groupBy(*keys, "__n", "__zone").agg(F.sum(F.col("__under") + F.col("__at")).alias("__size"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
     low_rank = F.floor((F.col("__n") + 1) / 2)
     high_rank = F.floor(F.col("__n") / 2) + 1
+    reached = (F.col("__before") < high_rank) & (F.col("__before") + F.col("__size") >= low_rank)
+    middle_zones = sizes.filter(reached).select(*keys, "__zone", "__before")
+    w = Window.partitionBy(*keys, "__zone").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = zoned.join(middle_zones, [*keys, "__zone"]).select(
+        *keys, "__n", "__v", "__at",
+        (F.col("__before") + F.sum(F.col("__under") + F.col("__at")).over(w)).alias("__upto"),
+    )
     first = F.col("__upto") - F.col("__at") + 1
 
     def holds(rank):

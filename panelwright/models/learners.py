@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark import keyword_only
@@ -130,11 +131,17 @@ def scaled(df: DataFrame, scaling: Scaling) -> DataFrame:
 
 @dataclass
 class ModelSpec:
-    """What to fit: a model name, its kind and parameters of the learner."""
+    """What to fit: a model name, its kind and parameters of the learner.
+
+    ``max_bins`` bounds the split candidates of a feature in trees.  Up to that
+    many distinct values each one is a candidate; beyond it Spark takes quantiles
+    of a sample, which is reported as a warning.
+    """
 
     name: str
     kind: str
     params: dict = field(default_factory=dict)
+    max_bins: int = 1024
 
     @property
     def linear(self) -> bool:
@@ -149,9 +156,12 @@ def default_specs(ridge: bool = False, lasso: bool = False, boosting: bool = Fal
     return [ModelSpec(n, n) for n, on in wanted if on]
 
 
-def bins_for(distinct: int, cap: int = 1024) -> int:
-    """Split candidates per feature: every distinct value up to a cap."""
-    return max(32, min(cap, distinct))
+def bins_for(spec: ModelSpec, distinct: int) -> int:
+    """Split candidates per feature: every distinct value up to the spec's ``max_bins``."""
+    if not spec.linear and distinct > spec.max_bins:
+        warnings.warn(f"{spec.name}: about {distinct} distinct values, max_bins is {spec.max_bins}; "
+                      "splits are chosen among quantiles", stacklevel=3)
+    return max(32, min(spec.max_bins, distinct))
 
 
 def build_learner(kind: str, label: str, features_col: str, params: dict | None = None,
@@ -171,13 +181,14 @@ def build_learner(kind: str, label: str, features_col: str, params: dict | None
     if kind == "RandomForest":
         return RandomForestRegressor(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=depth,
-            featureSubsetStrategy="all", **trees,
+            featureSubsetStrategy="all", bootstrap=bool(p.get("bootstrap", True)), **trees,
         )
     if kind == "GradientBoosting":
         return GBTRegressor(
             maxIter=int(p.get("n_estimators", 100)),
             maxDepth=6 if p.get("max_depth") is None else depth,
-            stepSize=float(p.get("learning_rate", 0.3)),
+            # Spark's squared-error residual is twice the error; the first tree has full weight.
+            stepSize=float(p.get("learning_rate", 0.3)) / 2,
             subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy=str(p.get("colsample_bytree", "all")), **trees,
         )
@@ -197,6 +208,6 @@ def assembler(n_features: int) -> VectorAssembler:
 def fit_model(spec: ModelSpec, train: DataFrame, features: list[str], target: str,
               scaling: Scaling, seed: int = SEED) -> PipelineModel:
     """Input scaling, assembler and learner as one saved unit."""
-    learner = build_learner(spec.kind, LABEL, INPUTS, spec.params, seed, bins_for(scaling.distinct))
+    learner = build_learner(spec.kind, LABEL, INPUTS, spec.params, seed, bins_for(spec, scaling.distinct))
     stages = [scaling.stage(spec.linear), assembler(len(features)), learner]
     return Pipeline(stages=stages).fit(train.withColumn(LABEL, col(target).cast("double")))

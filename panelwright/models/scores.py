@@ -96,9 +96,10 @@ def best_model_row(metrics: DataFrame) -> DataFrame:
 
 def model_listing(metrics: DataFrame, available: list[str], features: list[str],
                   digits: int = 4) -> DataFrame:
-    """Loaded models with rounded metrics, the default flagged, and the feature list."""
+    """Loaded models with rounded metrics (null where none are known), the default flagged, and the features."""
     default = best_model(metrics)
-    return metrics.filter(F.col("model").isin(available)).select(
+    names = metrics.sparkSession.createDataFrame([(n,) for n in available], "model string")
+    return names.join(metrics, "model", "left").select(
         "model", *[F.round(m, digits).alias(m.lower()) for m in ("MAE", "RMSE", "R2")],
         (F.col("model") == default).alias("is_default"),
         F.array(*[F.lit(f) for f in features]).alias("feature_columns"),

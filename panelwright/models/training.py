@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,7 +20,6 @@ from panelwright.models.learners import (
 )
 from panelwright.models.scores import (
     actual_vs_predicted,
-    normalized_importance,
     regression_metrics,
     score_models,
     tree_importance,
@@ -79,19 +79,29 @@ def train_models(train: DataFrame, test: DataFrame, features: list[str], target:
     )
 
 
-def coefficients(trained: Trained, spark: SparkSession) -> DataFrame:
-    return normalized_importance(spark, trained.models, trained.features)
-
-
 def save_models(models: dict[str, PipelineModel], folder: str) -> None:
     for name, model in models.items():
         model.write().overwrite().save(f"{folder}/{name}")
 
 
-def load_models(spark: SparkSession, folder: str, names: list[str]) -> dict[str, PipelineModel]:
-    """Every model present; an error only when none could be loaded."""
-    found = {n: PipelineModel.load(f"{folder}/{n}") for n in names
-             if path_exists(spark, f"{folder}/{n}")}
+def load_models(spark: SparkSession, folder: str, names: list[str],
+                unreadable: dict[str, str] | None = None) -> dict[str, PipelineModel]:
+    """Every model that can be read; an error only when none can.
+
+    Models that are there but cannot be read are logged, and put into
+    ``unreadable`` with the reason.
+    """
+    found = {}
+    for name in names:
+        if not path_exists(spark, f"{folder}/{name}"):
+            continue
+        try:
+            found[name] = PipelineModel.load(f"{folder}/{name}")
+        except Exception as broken:  # noqa: BLE001  whatever a damaged folder makes Spark raise
+            reason = str(broken).splitlines()[0]
+            logging.getLogger(__name__).warning("model %s cannot be read: %s", name, reason)
+            if unreadable is not None:
+                unreadable[name] = reason
     if not found:
         raise FileNotFoundError(f"no models found in {folder}")
     return found

@@ -119,7 +119,9 @@ def ridge_fold_scores(ready: DataFrame, n_features: int, alphas: list[float],
             shift = -c @ means
             sse = c @ products @ c + 2 * shift * (c @ sums) + n * shift * shift
             sst = products[-1, -1] - sums[-1] ** 2 / n
-            out.append((p, fold, 0.0 if constant else 1 - sse / sst))
+            # a constant fold scores 1 if predicted exactly (to rounding of the sums), else 0
+            exact = sse <= 1e-12 * max(1.0, products[-1, -1])
+            out.append((p, fold, float(exact) if constant else 1 - sse / sst))
     return out
 
 
@@ -143,7 +145,7 @@ def tune(spec: ModelSpec, train: DataFrame, features: list[str], target: str, sc
     kept = [f"__x{i}" for i in range(len(features))]
     ready = assembler(len(features)).transform(scaling.stage(spec.linear).transform(train)).select(
         col(fold).alias("__fold"), col(target).cast("double").alias("__y"), INPUTS, *kept)
-    bins = bins_for(scaling.distinct)
+    bins = bins_for(spec, scaling.distinct)
     rows = []
     if spec.kind == "Ridge":
         rows = [

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import col
+from panelwright.functions.numeric import col, stripped
 from panelwright.operators.extrapolate import TREND_METHODS
 
 
@@ -34,6 +34,7 @@ class Contract:
     share_limit: float = 100.0
     model_name_length: int = 50
     max_span: int = 100
+    scenario_period: int = 2030    # asked for when a scenario request names no period
 
     @property
     def model_features(self) -> list[str]:
@@ -85,7 +86,7 @@ def request_rules(contract: Contract, columns: list[str], models: list[str],
         total = sum((col(s) for s in contract.shares[1:]), col(contract.shares[0]))
         rules["share_sum"] = F.coalesce(total > contract.share_limit, F.lit(False))
     if "model_name" in columns:
-        named = F.trim(col("model_name"))
+        named = stripped(col("model_name"))
         rules["model_name_length"] = F.length("model_name") > contract.model_name_length
         rules["model_unknown"] = (named != "") & ~named.isin(models)
     if scenario and "method" in columns:
@@ -95,15 +96,23 @@ def request_rules(contract: Contract, columns: list[str], models: list[str],
 
 def validate_requests(requests: DataFrame, contract: Contract, models: list[str],
                       scenario: bool = False, period: str = "period") -> DataFrame:
-    """Add ``violations`` (codes of broken rules) and tidy the model name (trim, blank is NULL)."""
+    """Add ``violations`` (codes of broken rules) and tidy the model name (stripped, blank is NULL).
+
+    A scenario request without a method asks for ``linear``, one without a period
+    for the contract's ``scenario_period``.
+    """
     if "violations" in requests.columns:
         raise ValueError("request column name 'violations' is reserved")
+    if scenario:
+        requests = requests.withColumn(period, F.coalesce(col(period), F.lit(contract.scenario_period)))
+        method = col("method") if "method" in requests.columns else F.lit(None).cast("string")
+        requests = requests.withColumn("method", F.coalesce(method, F.lit(TREND_METHODS[0])))
     rules = request_rules(contract, requests.columns, models, scenario, period)
     out = requests.withColumn("violations", F.array_compact(F.array(*[
         F.when(test, F.lit(code)) for code, test in rules.items()
     ])))
     if "model_name" in requests.columns:
-        named = F.trim(col("model_name"))
+        named = stripped(col("model_name"))
         out = out.withColumn("model_name", F.when(named != "", named))
     return out
 

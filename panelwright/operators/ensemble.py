@@ -6,18 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col
-from panelwright.functions.skew import salted_join
 
 # Fixed value: normal quantile of a 95 % interval.
 Z95 = 1.96
 
 
-def impute_mean(df: DataFrame, columns: list[str], by: list[str] = [],
-                spread: list[str] | None = None) -> DataFrame:
+def impute_mean(df: DataFrame, columns: list[str], by: list[str] = []) -> DataFrame:
     """Missing values become the column mean, overall or per ``by``.
 
     Means come from a map-side aggregate, not from a window that would gather
-    each entity in one task.
+    each entity in one task; the join back is split by adaptive execution.
     """
     means = df.groupBy(*[col(b) for b in by]).agg(*[
         F.avg(col(c)).alias(f"__m{i}") for i, c in enumerate(columns)
@@ -28,7 +26,7 @@ def impute_mean(df: DataFrame, columns: list[str], by: list[str] = [],
             F.coalesce(col(c), F.lit(known[columns.index(c)])).alias(c) if c in columns else col(c)
             for c in df.columns
         ])
-    joined = salted_join(df, means, by, [col(s) for s in (spread or ["period"])], "left")
+    joined = df.join(means, by, "left")
     place = {c: i for i, c in enumerate(columns)}
     return joined.select(*[
         F.coalesce(col(c), F.col(f"__m{place[c]}")).alias(c) if c in place else col(c)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col, present
-from panelwright.functions.skew import salted_join
 from panelwright.models.scores import score_models, score_wide
 from panelwright.operators.contract import Contract, split_valid, validate_requests
 from panelwright.operators.extrapolate import trend_table, trend_value
@@ -72,10 +71,22 @@ def score_scenarios(scenarios: DataFrame, models: dict[str, PipelineModel], feat
 # --- request defaults -----------------------------------------------------------
 
 
+def request_trends(panel: DataFrame, contract: Contract, entity_cols: list[str] = ["entity"],
+                   period: str = "period", asked: DataFrame | None = None) -> DataFrame:
+    """Trend table of the contract's columns, for the entities of ``asked`` (None: all)."""
+    if asked is not None:
+        panel = panel.join(asked.select(*[col(c) for c in entity_cols]).distinct(), entity_cols, "left_semi")
+    return trend_table(panel, [f.column for f in contract.features], entity_cols, period)
+
+
 def historical_defaults(keys: DataFrame, panel: DataFrame, contract: Contract,
-                        entity_cols: list[str] = ["entity"], period: str = "period") -> DataFrame:
+                        entity_cols: list[str] = ["entity"], period: str = "period",
+                        trends: DataFrame | None = None) -> DataFrame:
     """Feature values of each distinct (entity, period) in ``keys``.
 
+    ``trends`` is a stored trend table; without one it is worked out for the
+    entities of ``keys``.
+
     A known period gives its own values; any other period - later, earlier or
     in a gap - the anchored linear trend.  What is still missing gets the
     contract's constant.
@@ -87,8 +98,8 @@ def historical_defaults(keys: DataFrame, panel: DataFrame, contract: Contract,
         *[col(f.column).cast("double").alias(f"__h{i}") for i, f in enumerate(fields)],
         F.lit(True).alias("__known"),
     )
-    columns = [f.column for f in fields]
-    trends = trend_table(panel, columns, entity_cols, period)
+    if trends is None:
+        trends = request_trends(panel, contract, entity_cols, period, keys)
     joined = keys.select(*[col(k) for k in on]).distinct().join(history, on, "left").join(
         trends, entity_cols, "left")
     linear = F.lit("linear")
@@ -104,16 +115,16 @@ def historical_defaults(keys: DataFrame, panel: DataFrame, contract: Contract,
 
 def resolve_features(requests: DataFrame, panel: DataFrame, contract: Contract,
                      entity_cols: list[str] = ["entity"], period: str = "period",
-                     request_id: str = "request_id") -> DataFrame:
+                     trends: DataFrame | None = None) -> DataFrame:
     """Explicit value, else default: every feature of every request is filled.
 
-    Defaults are worked out once per distinct (entity, period) and joined back
-    over salted keys, so a popular period does not pile up in one task.
+    Defaults are worked out once per distinct (entity, period) and joined back.
+    The left join's own side is the large one; adaptive execution splits its
+    partitions when a period is popular.
     """
     on = [*entity_cols, period]
-    defaults = historical_defaults(requests, panel, contract, entity_cols, period)
-    return fill_from_defaults(
-        salted_join(requests, defaults, on, [col(request_id)], "left"), contract)
+    defaults = historical_defaults(requests, panel, contract, entity_cols, period, trends)
+    return fill_from_defaults(requests.join(defaults, on, "left"), contract)
 
 
 def fill_from_defaults(joined: DataFrame, contract: Contract) -> DataFrame:
@@ -147,16 +158,17 @@ def predict_resolved(resolved: DataFrame, models: dict[str, PipelineModel], cont
         F.map_from_arrays(F.array(*[F.lit(n) for n in echo]),
                           F.array(*[col(n).cast("double") for n in echo])).alias("input_features"),
         F.when(chosen.isNotNull(), "ok").otherwise("failed").alias("status"),
+        F.when(chosen.isNotNull(), F.lit(CONFIDENCE_NOTE)).alias("confidence_note"),
     )
 
 
 def score_requests(requests: DataFrame, panel: DataFrame, models: dict[str, PipelineModel],
                    contract: Contract, default_model: str, entity_cols: list[str] = ["entity"],
                    period: str = "period",
-                   request_id: str = "request_id") -> tuple[DataFrame, DataFrame]:
+                   trends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Scored valid requests, and the rejected ones with error codes."""
     good, rejected = split_valid(validate_requests(requests, contract, list(models), period=period))
-    resolved = resolve_features(good, panel, contract, entity_cols, period, request_id)
+    resolved = resolve_features(good, panel, contract, entity_cols, period, trends)
     return predict_resolved(resolved, models, contract, default_model, period), rejected
 
 
@@ -207,21 +219,24 @@ def interpret(prediction: Column, period: Column, entity: Column,
 def score_scenario_requests(requests: DataFrame, panel: DataFrame, models: dict[str, PipelineModel],
                             contract: Contract, default_model: str,
                             entity_cols: list[str] = ["entity"], period: str = "period",
-                            request_id: str = "request_id",
-                            entity_name: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Extrapolate by the requested method (anchored rule), score, explain in words."""
+                            entity_name: str | None = None,
+                            trends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Extrapolate by the requested method (anchored rule), score, explain in words.
+
+    A feature comes from the request, else from the trend under its method, else
+    from the contract's constant; one trend table and one join give all of them.
+    Scenario values are extrapolated whether or not the panel knows the period.
+    """
     good, rejected = split_valid(
         validate_requests(requests, contract, list(models), scenario=True, period=period))
-    columns = [f.column for f in contract.features]
-    on = [*entity_cols, period, "method"]
-    trends = trend_table(panel, columns, entity_cols, period)
-    values = good.select(*[col(c) for c in on]).distinct().join(trends, entity_cols, "left").select(
-        *[col(c) for c in on],
-        *[trend_value(i, col(period), col("method"), "anchored").alias(f.name)
-          for i, f in enumerate(contract.features)],
-    )
-    explicit = salted_join(good, values, on, [col(request_id)], "left")
-    resolved = resolve_features(explicit, panel, contract, entity_cols, period, request_id)
+    if trends is None:
+        trends = request_trends(panel, contract, entity_cols, period, good)
+    resolved = good.join(trends, entity_cols, "left")
+    for i, f in enumerate(contract.features):
+        given = col(f.name).cast("double") if f.name in good.columns else F.lit(None).cast("double")
+        resolved = resolved.withColumn(f.name, F.coalesce(
+            given, trend_value(i, col(period), col("method"), "anchored"), F.lit(float(f.default))))
+    resolved = resolved.select(*[col(c) for c in dict.fromkeys([*good.columns, *[f.name for f in contract.features]])])
     scored = predict_resolved(resolved, models, contract, default_model, period)
     who = F.lit(entity_name) if entity_name else col(entity_cols[0]).cast("string")
     return scored.withColumn("interpretation", interpret(F.col("prediction"), col(period), who)), rejected

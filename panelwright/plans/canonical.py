@@ -40,9 +40,13 @@ def events_segments(spark: SparkSession, sf_dir: str) -> int | None:
     return choose_segments(events_long(spark, sf_dir).select("period"))
 
 
+#: What the models use; nothing else decides whether a user stays.
+MODEL_TYPES = ["click", "error", "view"]
+
+
 def events_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filled panel with the year feature; series that never occur stay out."""
-    panel = events_panel(spark, sf_dir)
+    """Filled panel of MODEL_TYPES with the year feature; series that never occur stay out."""
+    panel = events_panel(spark, sf_dir).select("entity", "period", *MODEL_TYPES)
     return add_year_column(
         fill_missing(panel, segment_rows=events_segments(spark, sf_dir)).dropna())
 

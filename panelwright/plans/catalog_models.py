@@ -122,9 +122,11 @@ def best_model(spark, sf_dir) -> DataFrame:
 
 @query("F18", S.with_(S.MODELS, """SELECT model, round(MAE, 4) AS mae, round(RMSE, 4) AS rmse, round(R2, 4) AS r2,
     model = (SELECT model FROM metrics ORDER BY R2 DESC, model LIMIT 1) AS is_default,
-    'year,click,error' AS feature_columns FROM metrics"""))
+    'year,click,error' AS feature_columns FROM metrics
+    UNION ALL SELECT 'Unmeasured', NULL, NULL, NULL, false, 'year,click,error'"""))
 def model_listing(spark, sf_dir) -> DataFrame:
-    listing = M.model_listing(linear_models(spark, sf_dir).metrics, ["LinearRegression", "Ridge"], FEATURES)
+    """Every available model, one of them without metrics."""
+    listing = M.model_listing(linear_models(spark, sf_dir).metrics, ["LinearRegression", "Ridge", "Unmeasured"], FEATURES)
     return listing.withColumn("feature_columns", F.concat_ws(",", "feature_columns"))
 
 
@@ -159,8 +161,8 @@ def top_features(spark, sf_dir) -> DataFrame:
        + w2 * (feature_value - m2) / s2 AS prediction, 'click' AS feature
      FROM g, w, st WHERE model = 'LinearRegression'""", ["feature_value", "prediction"]))
 def partial_dependence(spark, sf_dir) -> DataFrame:
-    _, test = split_panel(spark, sf_dir)
-    fitted = linear_models(spark, sf_dir)
+    train, test = split_panel(spark, sf_dir)
+    fitted = TR.train_models(train, test, FEATURES, TARGET, LINEAR_SPECS)
     return M.partial_dependence(test, fitted.models["LinearRegression"], FEATURES, "click")
 
 
@@ -205,6 +207,45 @@ def grid_search_summary(spark, sf_dir) -> DataFrame:
     return results.select("param_id", "mean_test_score", "std_test_score", "rank_test_score")
 
 
+@query("F8 A7", S.with_(CV + """, sm AS (SELECT alpha, avg(score) AS m FROM sc GROUP BY 1)""",
+  """SELECT 'Ridge' AS model, max(m) AS best_score, 'alpha=' || CAST(CAST(arg_max(alpha, m) * 10 AS BIGINT) AS VARCHAR) || '/10'
+     AS hyperparameters FROM sm""", ["best_score"]))
+def tuning_summary(spark, sf_dir) -> DataFrame:
+    """The best parameters of each tuned model."""
+    summary = TU.tuning_summary({"Ridge": ridge_search(spark, sf_dir)}, spark)
+    tenths = F.regexp_extract("hyperparameters", r": ([0-9.]+)", 1).cast("double") * 10
+    return summary.withColumn("hyperparameters", F.concat(F.lit("alpha="), F.round(tenths).cast("long").cast("string"), F.lit("/10")))
+
+
+TREE_CV = S.LINES_PANEL + f""", tp AS (
+    SELECT entity, period AS x, quantity AS y, row_number() OVER (PARTITION BY entity ORDER BY period) AS pos,
+           count(*) OVER (PARTITION BY entity) AS n FROM lines_panel WHERE period <= 50),
+  tf AS (SELECT x, y, {FOLD_SQL} AS fold FROM tp), fd AS (SELECT DISTINCT fold AS k FROM tf),
+  ins AS (SELECT k, x, y FROM tf, fd WHERE fold <> k),
+  v AS (SELECT DISTINCT k, x FROM ins),
+  c AS (SELECT k, (x + lead(x) OVER (PARTITION BY k ORDER BY x)) / 2.0 AS t FROM v),
+  e AS (SELECT k, t, sum(CASE WHEN x <= t THEN y END) AS sl, count(CASE WHEN x <= t THEN 1 END) AS nl,
+               sum(CASE WHEN x > t THEN y END) AS sr, count(CASE WHEN x > t THEN 1 END) AS nr
+        FROM ins JOIN c USING (k) WHERE t IS NOT NULL GROUP BY k, t),
+  leaf(param_id, least) AS (VALUES (0, 1), (1, 40)),
+  b AS (SELECT param_id, k, t, sl / nl AS l, sr / nr AS r FROM e, leaf WHERE nl >= least AND nr >= least
+        QUALIFY row_number() OVER (PARTITION BY param_id, k ORDER BY sl * sl / nl + sr * sr / nr DESC, t) = 1),
+  sc AS (SELECT param_id, k, 1 - sum((y - CASE WHEN x <= t THEN l ELSE r END)^2) / (var_pop(y) * count(*)) AS score
+         FROM tf JOIN b ON tf.fold = b.k GROUP BY 1, 2)"""
+
+
+@query("F8 D7", S.with_(TREE_CV, "SELECT param_id, CAST(k AS INTEGER) AS fold, score FROM sc", ["score"]))
+def grid_search_tree(spark, sf_dir) -> DataFrame:
+    """Fold scores of stumps with two leaf sizes, through the general search."""
+    panel = materialize(P.lines_panel(spark, sf_dir), "lines-panel").withColumn("year", F.col("period"))
+    train, _ = O.temporal_split(panel, 50)
+    folded = materialize(O.contiguous_folds(train, 5), "folded")
+    scaling = LN.fit_scaling(folded, ["year"], "quantity")
+    found = TU.tune(LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 1}), folded, ["year"], "quantity", scaling,
+                    {"min_samples_leaf": [1, 40]})
+    return found.scores.select("param_id", "fold", "score")
+
+
 # The two penalties that seed 42 draws from RIDGE_GRID.
 DRAWN_SQL = "gr(param_id, alpha) AS (VALUES (0, 10000.0::DOUBLE), (1, 0.1::DOUBLE)),"
 ALL_SQL = "gr(param_id, alpha) AS (VALUES (0, 0.1::DOUBLE), (1, 100.0::DOUBLE), (2, 10000.0::DOUBLE)),"
@@ -249,6 +290,29 @@ def boosting_of_one_stump(spark, sf_dir) -> DataFrame:
     return fitted.predictions.select("entity", "period", "prediction")
 
 
+@query("F6", S.with_(STUMP, STUMP_BODY, ["prediction"]))
+def forest_without_bootstrap(spark, sf_dir) -> DataFrame:
+    """Without bootstrap every tree sees all rows, so a forest of stumps is the stump."""
+    fitted, _ = stump_run(spark, sf_dir, "RandomForest", {"n_estimators": 5, "bootstrap": False})
+    return fitted.predictions.select("entity", "period", "prediction")
+
+
+SECOND = """, tr2 AS (SELECT x, y - CASE WHEN x <= t THEN l ELSE r END AS y FROM tr, b),
+  e2 AS (SELECT c.t, sum(CASE WHEN x <= c.t THEN y END) AS sl, count(CASE WHEN x <= c.t THEN 1 END) AS nl,
+                sum(CASE WHEN x > c.t THEN y END) AS sr, count(CASE WHEN x > c.t THEN 1 END) AS nr
+         FROM tr2, c WHERE c.t IS NOT NULL GROUP BY c.t),
+  b2 AS (SELECT t AS t2, sl / nl AS l2, sr / nr AS r2 FROM e2 ORDER BY sl * sl / nl + sr * sr / nr DESC, t LIMIT 1)"""
+
+
+@query("F7", S.with_(STUMP + SECOND, """SELECT entity, period, CASE WHEN period <= t THEN l ELSE r END
+    + 0.5 * CASE WHEN period <= t2 THEN l2 ELSE r2 END AS prediction FROM lines_panel, b, b2 WHERE period > 50""",
+                     ["prediction"]))
+def boosting_of_two_stumps(spark, sf_dir) -> DataFrame:
+    """The second tree fits the first one's errors and counts by the learning rate."""
+    fitted, _ = stump_run(spark, sf_dir, "GradientBoosting", {"n_estimators": 2, "learning_rate": 0.5})
+    return fitted.predictions.select("entity", "period", "prediction")
+
+
 @query("F14", S.with_(STUMP + """, r AS (SELECT min(period) AS lo, max(period) AS hi FROM lines_panel),
   g AS (SELECT CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 9.0::DOUBLE AS feature_value FROM range(10) AS n(i), r)""",
   """SELECT point, feature_value, CASE WHEN feature_value <= t THEN l ELSE r END AS prediction, 'year' AS feature
@@ -282,8 +346,8 @@ def tree_set(spark, sf_dir) -> TR.Trained:
     train, test = split_panel(spark, sf_dir)
     return TR.train_models(train, test, FEATURES, TARGET, [
         LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 5}),
-        LN.ModelSpec("RandomForest", "RandomForest", {"n_estimators": 10, "max_depth": 5}),
-        LN.ModelSpec("GradientBoosting", "GradientBoosting", {"n_estimators": 5, "max_depth": 3}),
+        LN.ModelSpec("RandomForest", "RandomForest", {"n_estimators": 100, "max_depth": 5}),
+        LN.ModelSpec("GradientBoosting", "GradientBoosting", {"n_estimators": 20, "max_depth": 3}),
     ])
 
 
@@ -299,12 +363,15 @@ def tree_importance(spark, sf_dir) -> DataFrame:
 
 @query("A9", S.with_(S.MODELS, "SELECT entity, period, model, prediction FROM pred", ["prediction"]))
 def saved_models_predict(spark, sf_dir) -> DataFrame:
-    """Models written and read back give the same predictions."""
-    fitted = linear_models(spark, sf_dir)
+    """Models written and read back give the same predictions; a damaged and an absent one are passed over."""
+    train, test = split_panel(spark, sf_dir)
+    fitted = TR.train_models(train, test, FEATURES, TARGET, LINEAR_SPECS)
     folder = scratch_path(spark, "models")
     TR.save_models(fitted.models, folder)
-    again = TR.load_models(spark, folder, ["LinearRegression", "Ridge", "Absent"])
-    _, test = split_panel(spark, sf_dir)
+    P.table(spark, sf_dir, "region").select("r_name").write.text(f"{folder}/Damaged/metadata")
+    unreadable: dict[str, str] = {}
+    again = TR.load_models(spark, folder, ["Damaged", "LinearRegression", "Ridge", "Absent"], unreadable)
+    assert list(unreadable) == ["Damaged"]
     return M.score_models(test, again, FEATURES, keep=["entity", "period"])
 
 
@@ -341,15 +408,26 @@ SCENARIO = S.MODELS + ", " + S.trend_state().split(S.PANEL + ", ")[1].replace("c
   scp AS (
     SELECT entity, CAST(period AS INTEGER) AS period, method, model,
            my + w1 * (period - m1) / s1 + w2 * (click - m2) / s2 + w3 * (error - m3) / s3 AS prediction
-    FROM sce, st, w WHERE method <> 'exponential')"""
-CALM = ["linear", "last_value", "average"]
+    FROM sce, st, w)"""
+
+
+def steady(df: DataFrame, *names: str) -> DataFrame:
+    """Large values by the decimal logarithm of their size: exponential trends differ in their last digits."""
+    def of(c):
+        return F.when(F.abs(c) > 1000, F.signum(c) * F.log10(F.abs(c))).otherwise(c)
+    return df.withColumns({n: of(F.col(n)) for n in names})
+
+
+def steady_sql(body: str, *names: str) -> str:
+    of = ", ".join(f"CASE WHEN abs({n}) > 1000 THEN sign({n}) * log10(abs({n})) ELSE {n} END AS {n}" for n in names)
+    return f"SELECT * REPLACE ({of}) FROM ({body})"
 
 
 def scenario_rows(spark, sf_dir) -> DataFrame:
     """Scenario inputs from the raw panel of the users that have a filled series."""
     panel = P.events_panel_stored(spark, sf_dir)
     known = P.events_stored(spark, sf_dir).select("entity").distinct()
-    return X.scenario(panel.join(known, "entity", "left_semi"), ["click", "error"], 29, SCENARIO_END, CALM)
+    return X.scenario(panel.join(known, "entity", "left_semi"), ["click", "error"], 29, SCENARIO_END, METHODS)
 
 
 def scenario_scores(spark, sf_dir, target=SCENARIO_END) -> DataFrame:
@@ -359,66 +437,74 @@ def scenario_scores(spark, sf_dir, target=SCENARIO_END) -> DataFrame:
     return scored
 
 
-@query("G3 G4", S.with_(SCENARIO, f"SELECT * FROM scp WHERE period = {SCENARIO_END}", ["prediction"]))
+@query("G3 G4", S.with_(SCENARIO, steady_sql(f"SELECT * FROM scp WHERE period = {SCENARIO_END}", "prediction"), ["prediction"]))
 def scenario_predictions(spark, sf_dir) -> DataFrame:
     """Every model on the target day of every scenario."""
-    return scenario_scores(spark, sf_dir)
+    return steady(scenario_scores(spark, sf_dir), "prediction")
+
+
+SUMMARY = ["mean", "median", "optimistic", "pessimistic", "std"]
+CHANGE = ["current", "avg_prediction", "change", "change_pct"]
+COMPARED = ["current", *METHODS, *[f"{m}_vs_linear" for m in METHODS if m != "linear"],
+            *[f"{m}_vs_current" for m in METHODS], "spread"]
 
 
-@query("C13", S.with_(SCENARIO, f"""SELECT method, model, avg(prediction) AS mean,
+@query("C13", S.with_(SCENARIO, steady_sql(f"""SELECT method, model, avg(prediction) AS mean,
     quantile_cont(prediction, 0.5) AS median, min(prediction) AS optimistic, max(prediction) AS pessimistic,
-    stddev_samp(prediction) AS std FROM scp WHERE period = {SCENARIO_END} GROUP BY 1, 2""",
-                      ["mean", "median", "optimistic", "pessimistic", "std"]))
+    stddev_samp(prediction) AS std FROM scp WHERE period = {SCENARIO_END} GROUP BY 1, 2""", *SUMMARY), SUMMARY))
 def prediction_summary(spark, sf_dir) -> DataFrame:
-    return ST.prediction_summary(scenario_scores(spark, sf_dir), ["method", "model"])
+    return steady(ST.prediction_summary(scenario_scores(spark, sf_dir), ["method", "model"]), *SUMMARY)
 
 
 @query("C14", S.with_(SCENARIO + f""", cur AS (
     SELECT entity, arg_max_null(view, period) AS current FROM panel WHERE period >= 20 GROUP BY 1),
   a AS (SELECT entity, avg(prediction) AS avg_prediction FROM scp WHERE period = {SCENARIO_END} GROUP BY 1)""",
-  """SELECT entity, current, avg_prediction, avg_prediction - current AS change,
+  steady_sql("""SELECT entity, current, avg_prediction, avg_prediction - current AS change,
      (avg_prediction - current) / current * 100 AS change_pct,
      CASE WHEN avg_prediction > current THEN 'increase' WHEN avg_prediction < current THEN 'decrease'
-          WHEN current IS NOT NULL THEN 'stable' END AS direction FROM a JOIN cur USING (entity)""",
-                      ["current", "avg_prediction", "change", "change_pct"]))
+          WHEN current IS NOT NULL THEN 'stable' END AS direction FROM a JOIN cur USING (entity)""", *CHANGE), CHANGE))
 def expected_change(spark, sf_dir) -> DataFrame:
-    return ST.expected_change(scenario_scores(spark, sf_dir), P.events_panel(spark, sf_dir), TARGET, since=20)
+    changed = ST.expected_change(scenario_scores(spark, sf_dir), P.events_panel(spark, sf_dir), TARGET, since=20)
+    return steady(changed, *CHANGE)
 
 
 @query("A8", S.with_(SCENARIO + """, h AS (SELECT entity, arg_max(view, period) AS last_value,
     min(period) AS data_start, max(period) AS data_end FROM panel WHERE period <= 29 GROUP BY 1)""",
-  f"""SELECT entity, model, period AS prediction_period, prediction, method AS scenario_method,
-      last_value, data_start, data_end FROM scp JOIN h USING (entity) WHERE period = {SCENARIO_END}""",
+  steady_sql(f"""SELECT entity, model, period AS prediction_period, prediction, method AS scenario_method,
+      last_value, data_start, data_end FROM scp JOIN h USING (entity) WHERE period = {SCENARIO_END}""", "prediction"),
                      ["prediction", "last_value"]))
 def forecast_report(spark, sf_dir) -> DataFrame:
     """Prediction beside the last known target and the data range."""
-    return RP.forecast_report(scenario_scores(spark, sf_dir), P.events_panel(spark, sf_dir), TARGET, 29)
+    report = RP.forecast_report(scenario_scores(spark, sf_dir), P.events_panel(spark, sf_dir), TARGET, 29)
+    return steady(report, "prediction")
 
 
 @query("G13", S.with_(SCENARIO + """, h AS (SELECT entity, arg_max(view, period) AS current FROM panel GROUP BY 1),
   x AS (SELECT entity, model, max(prediction) FILTER (WHERE method = 'linear') AS linear,
+               max(prediction) FILTER (WHERE method = 'exponential') AS exponential,
                max(prediction) FILTER (WHERE method = 'last_value') AS last_value,
                max(prediction) FILTER (WHERE method = 'average') AS average,
                max(prediction) - min(prediction) AS spread FROM scp WHERE period = 34 GROUP BY 1, 2)""",
-  """SELECT entity, model, current, linear, last_value, average, last_value - linear AS last_value_vs_linear,
+  steady_sql("""SELECT entity, model, current, linear, exponential, last_value, average,
+     exponential - linear AS exponential_vs_linear, last_value - linear AS last_value_vs_linear,
      average - linear AS average_vs_linear, linear - current AS linear_vs_current,
+     exponential - current AS exponential_vs_current,
      last_value - current AS last_value_vs_current, average - current AS average_vs_current, spread
-     FROM x LEFT JOIN h USING (entity)""",
-  ["current", "linear", "last_value", "average", "last_value_vs_linear", "average_vs_linear",
-   "linear_vs_current", "last_value_vs_current", "average_vs_current", "spread"]))
+     FROM x LEFT JOIN h USING (entity)""", *COMPARED), COMPARED))
 def scenario_comparison(spark, sf_dir) -> DataFrame:
     """The same model across methods: against linear, against the last observation, spread."""
-    return EN.compare_scenarios(scenario_scores(spark, sf_dir),
-                                EN.latest_target(P.events_panel(spark, sf_dir), TARGET), CALM)
+    compared = EN.compare_scenarios(scenario_scores(spark, sf_dir),
+                                    EN.latest_target(P.events_panel(spark, sf_dir), TARGET), METHODS)
+    return steady(compared, *COMPARED)
 
 
 @query("G13", S.with_(SCENARIO + """, m AS (SELECT model || ' + ' || method AS c, avg(prediction) AS p
     FROM scp WHERE period = 34 GROUP BY model, method)""",
-  """SELECT min(p) AS optimistic, arg_min(c, p) AS optimistic_case, max(p) AS pessimistic,
-     arg_max(c, p) AS pessimistic_case, max(p) - min(p) AS spread FROM m""",
+  steady_sql("""SELECT min(p) AS optimistic, arg_min(c, p) AS optimistic_case, max(p) AS pessimistic,
+     arg_max(c, p) AS pessimistic_case, max(p) - min(p) AS spread FROM m""", "optimistic", "pessimistic", "spread"),
   ["optimistic", "pessimistic", "spread"]))
 def scenario_spread(spark, sf_dir) -> DataFrame:
-    return EN.overall_spread(scenario_scores(spark, sf_dir))
+    return steady(EN.overall_spread(scenario_scores(spark, sf_dir)), "optimistic", "pessimistic", "spread")
 
 
 @query("G11", S.with_(S.MODELS + ", pm AS (SELECT model, avg(prediction) AS p FROM pred GROUP BY 1)",

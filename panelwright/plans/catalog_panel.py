@@ -80,14 +80,30 @@ def panel_roundtrip(spark, sf_dir) -> DataFrame:
     return PN.read_panel(spark, path, period="period", entity_cols=["entity"])
 
 
-@query("A2 A4", S.with_(S.LINES_PANEL, "SELECT entity, period, gross, tax FROM lines_panel", ["gross", "tax"]))
+CODES = """CASE entity WHEN 'A' THEN '007' WHEN 'N' THEN '01' ELSE entity END"""
+
+
+@query("A2 A4", S.with_(S.LINES_PANEL, f"SELECT {CODES} AS entity, period, gross, tax FROM lines_panel", ["gross", "tax"]))
 def panel_csv_roundtrip(spark, sf_dir) -> DataFrame:
-    """Wide panel as CSV partitioned by entity; the schema comes from the header."""
+    """Wide panel as CSV partitioned by entity; the schema comes from the header, codes stay as written."""
     path = scratch_path(spark, "panel-csv")
-    PN.write_panel(P.lines_panel(spark, sf_dir).select("entity", "period", "gross", "tax"), path,
-                   fmt="csv", partition_by=["entity"], files_per_partition=2)
-    return PN.read_panel(spark, path, fmt="csv", period="period", entity_cols=["entity"]).select(
-        F.col("entity").cast("string").alias("entity"), "period", "gross", "tax")
+    panel = P.lines_panel(spark, sf_dir).select(F.expr(CODES).alias("entity"), "period", "gross", "tax")
+    PN.write_panel(panel, path, fmt="csv", partition_by=["entity"], files_per_partition=2)
+    back = PN.read_panel(spark, path, fmt="csv", period="period", entity_cols=["entity"], entity_types={"entity": "string"})
+    return back.select("entity", "period", "gross", "tax")
+
+
+@query("A1 B3", S.with_(S.EV, """SELECT 'user ' || entity AS entity_key, upper(indicator) AS indicator_code, period, value
+    FROM ev""", ["value"]))
+def read_long_parquet(spark, sf_dir) -> DataFrame:
+    """Long Parquet with its own types and a stored order; names are padded with tabs."""
+    path = scratch_path(spark, "long-parquet")
+    P.events_long(spark, sf_dir).select(
+        F.concat(F.lit("\tUser "), F.col("entity"), F.lit(" \n")).alias("Country Name"), F.lit("C").alias("Country Code"),
+        F.col("indicator").alias("Indicator Name"), F.upper("indicator").alias("Indicator Code"),
+        F.col("period").alias("Year"), F.col("value").alias("Value"), "ordinal").write.parquet(path)
+    long = L.canonical_long(L.read_long(spark, path, "parquet", ordinal="ordinal"))
+    return long.select("entity_key", "indicator_code", "period", "value")
 
 
 def long_file_shape(spark, sf_dir) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from panelwright.operators import contract as CT
 from panelwright.operators import scoring as G
 from panelwright.plans import canonical as P
 from panelwright.plans import sql as S
-from panelwright.plans.catalog_models import linear_models
+from panelwright.plans.catalog_models import linear_models, steady, steady_sql
 from panelwright.plans.registry import query
 from panelwright.session import scratch_path
 from panelwright.sources import manifest as MF
@@ -20,7 +22,7 @@ CONTRACT = CT.Contract(
     features=(CT.RequestFeature("clicks", "click", 8.0, 0.0, 300.0),
               CT.RequestFeature("errors", "error", 75.0, 0.0, 400.0)),
     target="view", period_low=0, period_high=100, scenario_low=30,
-    shares=("clicks", "errors"), share_limit=250.0, max_span=10,
+    shares=("clicks", "errors"), share_limit=250.0, max_span=10, scenario_period=60,
 )
 MODELS = ["LinearRegression", "Ridge"]
 DEFAULT = "LinearRegression"
@@ -35,7 +37,7 @@ def requests(spark, sf_dir) -> DataFrame:
         F.when(kind == "error", day + 80).when(kind == "signup", day + 10).otherwise(day).alias("period"),
         F.when(kind == "click", value).when(kind == "view", value / 2).alias("clicks"),
         F.when(kind == "error", value).when(kind == "view", value / 2 + 50).alias("errors"),
-        F.when(kind == "purchase", F.lit("  Ridge ")).when(kind == "signup", F.lit("  "))
+        F.when(kind == "purchase", F.lit("\t Ridge\n")).when(kind == "signup", F.lit(" \t"))
         .when((kind == "click") & (value < 10), F.lit("Unknown"))
         .when((kind == "click") & (value > 250), F.repeat(F.lit("m"), F.lit(60))).alias("model_name"),
     )
@@ -46,19 +48,20 @@ REQUESTS = """rq AS (
     CAST(CASE event_type WHEN 'error' THEN d + 80 WHEN 'signup' THEN d + 10 ELSE d END AS INTEGER) AS period,
     CASE event_type WHEN 'click' THEN value WHEN 'view' THEN value / 2 END AS clicks,
     CASE event_type WHEN 'error' THEN value WHEN 'view' THEN value / 2 + 50 END AS errors,
-    CASE WHEN event_type = 'purchase' THEN '  Ridge ' WHEN event_type = 'signup' THEN '  '
+    CASE WHEN event_type = 'purchase' THEN chr(9) || ' Ridge' || chr(10)
+         WHEN event_type = 'signup' THEN ' ' || chr(9)
          WHEN event_type = 'click' AND value < 10 THEN 'Unknown'
          WHEN event_type = 'click' AND value > 250 THEN repeat('m', 60) END AS model_name
   FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d FROM events)),
 ck AS (
-  SELECT * EXCLUDE (model_name), CASE WHEN trim(model_name) <> '' THEN trim(model_name) END AS model_name,
+  SELECT * EXCLUDE (model_name, named), CASE WHEN named <> '' THEN named END AS model_name,
     CASE WHEN period < 0 OR period > 100 THEN 'period_range,' ELSE '' END ||
     CASE WHEN clicks < 0 OR clicks > 300 THEN 'clicks_range,' ELSE '' END ||
     CASE WHEN errors < 0 OR errors > 400 THEN 'errors_range,' ELSE '' END ||
     CASE WHEN clicks + errors > 250 THEN 'share_sum,' ELSE '' END ||
     CASE WHEN length(model_name) > 50 THEN 'model_name_length,' ELSE '' END ||
-    CASE WHEN trim(model_name) NOT IN ('', 'LinearRegression', 'Ridge') THEN 'model_unknown,' ELSE '' END AS codes
-  FROM rq)"""
+    CASE WHEN named NOT IN ('', 'LinearRegression', 'Ridge') THEN 'model_unknown,' ELSE '' END AS codes
+  FROM (SELECT *, regexp_replace(model_name, '^\\s+|\\s+$', '', 'g') AS named FROM rq))"""
 
 TRENDS = S.trend_state().split(S.PANEL + ", ")[1]
 
@@ -106,20 +109,25 @@ def scored_requests(spark, sf_dir):
 
 
 SCORED_BODY = """SELECT request_id, entity, period, model_used, prediction,
-    'year=' || period AS echoed_year, clicks AS echoed_clicks, 'ok' AS status FROM sd"""
+    'year=' || period AS echoed_year, clicks AS echoed_clicks, 'ok' AS status FROM sd
+  UNION ALL SELECT request_id, entity, period, NULL, NULL, NULL, NULL, 'rejected: ' || rtrim(codes, ',') FROM ck WHERE codes <> ''"""
 
 
-def scored_view(scored: DataFrame) -> DataFrame:
-    return scored.select(
+def scored_view(scored: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Answers, and the rejected requests with their codes."""
+    answers = scored.select(
         "request_id", "entity", "period", "model_used", "prediction",
         F.concat(F.lit("year="), F.col("input_features")["year"].cast("int")).alias("echoed_year"),
         F.col("input_features")["clicks"].alias("echoed_clicks"), "status")
+    refused = rejected.select("request_id", "entity", "period", F.concat(
+        F.lit("rejected: "), F.concat_ws(",", "violations")).alias("status"))
+    return answers.unionByName(refused, allowMissingColumns=True)
 
 
 @query("G6", S.with_(ALL, SCORED_BODY, ["prediction", "echoed_clicks"]))
 def score_requests(spark, sf_dir) -> DataFrame:
     """Requests as a table: validated, completed, scored by the model they name."""
-    return scored_view(scored_requests(spark, sf_dir)[0])
+    return scored_view(*scored_requests(spark, sf_dir))
 
 
 @query("G6", S.with_(REQUESTS, """SELECT count(*) AS total_predictions,
@@ -131,29 +139,40 @@ def batch_totals(spark, sf_dir) -> DataFrame:
 @query("G7", f"""WITH r AS (SELECT o_orderkey, CAST(o_custkey % 90 AS INTEGER) AS a,
       CAST(o_custkey % 90 + o_orderkey % 14 - 1 AS INTEGER) AS b FROM orders),
     g AS (SELECT * FROM r WHERE a <= b AND b - a <= 10)
-    SELECT o_orderkey AS request_id, CAST(unnest(range(a, b + 1)) AS INTEGER) AS period FROM g""")
+    SELECT o_orderkey AS request_id, CAST(unnest(range(a, b + 1)) AS INTEGER) AS period, '' AS codes FROM g WHERE b BETWEEN 0 AND 100
+    UNION ALL SELECT o_orderkey, NULL, rtrim(CASE WHEN b NOT BETWEEN 0 AND 100 THEN 'end_range,' ELSE '' END ||
+      CASE WHEN a > b THEN 'range_order,' ELSE '' END || CASE WHEN b - a > 10 THEN 'range_span,' ELSE '' END, ',')
+    FROM r WHERE b NOT BETWEEN 0 AND 100 OR a > b OR b - a > 10""")
 def year_range(spark, sf_dir) -> DataFrame:
-    """One request per year of each valid range; too long or reversed ranges are rejected."""
+    """One request per year of each valid range; too long or reversed ranges come back with their codes."""
     ranges = P.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"), (F.col("o_custkey") % 90).cast("int").alias("start_period"),
         (F.col("o_custkey") % 90 + F.col("o_orderkey") % 14 - 1).cast("int").alias("end_period"))
-    good, _ = G.year_range_requests(ranges, CONTRACT)
-    return good.select("request_id", "period")
+    good, bad = G.year_range_requests(ranges, CONTRACT)
+    refused = bad.select("request_id", F.lit(None).cast("int").alias("period"), F.concat_ws(",", "violations").alias("codes"))
+    return good.select("request_id", "period", F.lit("").alias("codes")).unionByName(refused)
 
 
 SCENARIO_REQUESTS = """sq AS (
-  SELECT event_id AS request_id, user_id AS entity, CAST(30 + d AS INTEGER) AS period,
-    CASE event_type WHEN 'click' THEN 'linear' WHEN 'error' THEN 'average' WHEN 'view' THEN 'last_value'
-      WHEN 'purchase' THEN 'cubic' ELSE 'linear' END AS method,
+  SELECT event_id AS request_id, user_id AS entity,
+    CAST(CASE WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 60 ELSE 30 + d END AS INTEGER) AS period,
+    CASE WHEN event_type = 'error' THEN 'average' WHEN event_type = 'view' THEN 'last_value'
+      WHEN event_type = 'purchase' AND value < 20 THEN 'cubic' WHEN event_type = 'purchase' THEN 'exponential'
+      ELSE 'linear' END AS method,
     CASE WHEN event_type = 'signup' THEN 'Ridge' ELSE 'LinearRegression' END AS model_used
   FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS d FROM events))"""
 
 
 def anchored_pick(indicator: str, fallback: str) -> str:
-    t = indicator[0]
-    return f"""coalesce(CASE WHEN {t}.n < 2 THEN NULL
-      WHEN method = 'linear' THEN {t}.last + ({t}.last - {t}.oldest) / {t}.span * (period - {t}.last_seen)
-      WHEN method = 'average' THEN {t}.mean ELSE {t}.last END, {fallback})"""
+    """The anchored value over the columns of the indicator's own trend alias, else the constant."""
+    value = re.sub(r"\b(n|last|oldest|span|last_seen|mean)\b", rf"{indicator[0]}.\1", S.ANCHORED_VALUE)
+    return f"coalesce({value}, {fallback})"
+
+
+BANDS = """CASE WHEN prediction < 25 THEN 'low' WHEN prediction < 50 THEN 'low-medium'
+       WHEN prediction < 75 THEN 'medium-high' WHEN prediction < 100 THEN 'high' ELSE 'critical' END"""
+OUTLOOKS = f"CASE {BANDS} " + " ".join(f"WHEN '{name}' THEN '{view}'" for _, name, view in G.STRESS_BANDS) + " END"
+NOTE = G.INTERPRETATION.split("%s. ")[-1]
 
 
 @query("G8", S.with_(f"{S.MODELS}, {TRENDS}, {SCENARIO_REQUESTS}" + f""", sx AS (
@@ -164,25 +183,33 @@ def anchored_pick(indicator: str, fallback: str) -> str:
     WHERE method <> 'cubic'),
   sp AS (SELECT sx.*, my + w1 * (period - m1) / s1 + w2 * (clicks - m2) / s2 + w3 * (errors - m3) / s3 AS prediction
          FROM sx JOIN w ON w.model = model_used, st)""",
-  """SELECT request_id, entity, period, method, model_used, prediction,
-     'By ' || period || ', ' || entity || ' is predicted to have ' || CASE
-       WHEN prediction < 25 THEN 'low' WHEN prediction < 50 THEN 'low-medium'
-       WHEN prediction < 75 THEN 'medium-high' WHEN prediction < 100 THEN 'high' ELSE 'critical' END
-       || ' water stress at ' AS opening FROM sp""", ["prediction"]))
+  steady_sql(f"""SELECT request_id, entity, period, method, model_used, prediction,
+     'By ' || period || ', ' || entity || ' is predicted to have ' || {BANDS} || ' water stress at ' ||
+     CASE WHEN method = 'exponential' THEN '' ELSE printf('%.1f', prediction) END || '%. This indicates ' || {OUTLOOKS} || '. {NOTE}'
+     AS interpretation FROM sp
+     UNION ALL SELECT request_id, entity, period, method, NULL, NULL, 'rejected: method_unknown' FROM sq WHERE method = 'cubic'""",
+     "prediction"), ["prediction"]))
 def scenario_requests(spark, sf_dir) -> DataFrame:
-    """Extrapolate by the asked method, score, explain in words."""
+    """Extrapolate by the asked method, score, explain in words; some name no method or no period.
+
+    Exponential answers are compared by the logarithm and without the number in the text.
+    """
     day = F.datediff(F.to_date("ts"), F.lit(P.EVENT_DAY_ZERO).cast("date"))
     kind = F.col("event_type")
     asked = P.table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("request_id"), F.col("user_id").alias("entity"), (day + 30).alias("period"),
-        F.when(kind == "error", "average").when(kind == "view", "last_value")
-        .when(kind == "purchase", "cubic").otherwise("linear").alias("method"),
+        F.col("event_id").alias("request_id"), F.col("user_id").alias("entity"),
+        F.when((kind != "signup") | (F.col("event_id") % 2 == 1), day + 30).alias("period"),
+        F.when(kind == "error", "average").when(kind == "view", "last_value").when(kind == "click", "linear")
+        .when((kind == "purchase") & (F.col("value") < 20), "cubic").when(kind == "purchase", "exponential").alias("method"),
         F.when(kind == "signup", "Ridge").alias("model_name"))
-    scored, _ = G.score_scenario_requests(asked, P.events_panel_stored(spark, sf_dir),
-                                          linear_models(spark, sf_dir).models, CONTRACT, DEFAULT)
-    return scored.select("request_id", "entity", "period", "method", "model_used", "prediction",
-                         F.regexp_extract("interpretation", r"^(.* at )-?[0-9.]+%\. This indicates .*\.$", 1)
-                         .alias("opening"))
+    scored, rejected = G.score_scenario_requests(asked, P.events_panel_stored(spark, sf_dir),
+                                                 linear_models(spark, sf_dir).models, CONTRACT, DEFAULT)
+    text = F.when(F.col("method") == "exponential", F.regexp_replace("interpretation", r"at -?[0-9.]+%", "at %")).otherwise(
+        F.col("interpretation"))
+    answers = scored.select("request_id", "entity", "period", "method", "model_used", "prediction", text.alias("interpretation"))
+    refused = rejected.select("request_id", "entity", "period", "method", F.concat(
+        F.lit("rejected: "), F.concat_ws(",", "violations")).alias("interpretation"))
+    return steady(answers.unionByName(refused, allowMissingColumns=True), "prediction")
 
 
 @query("S1", S.with_(ALL, SCORED_BODY, ["prediction", "echoed_clicks"]))
@@ -195,7 +222,7 @@ def stream_scoring(spark, sf_dir) -> DataFrame:
                            P.events_panel_stored(spark, sf_dir), linear_models(spark, sf_dir).models,
                            CONTRACT, DEFAULT, out, scratch_path(spark, "stream-checkpoint"))
     run.awaitTermination()
-    return scored_view(RS.read_scored(spark, out))
+    return scored_view(RS.read_scored(spark, out), RS.read_rejected(spark, out))
 
 
 # --- manifests and run log ----------------------------------------------------------
@@ -219,11 +246,15 @@ def verify_manifest(spark, sf_dir) -> DataFrame:
     return MF.verify_manifest(document_manifest(spark, sf_dir, False), document_manifest(spark, sf_dir, True))
 
 
-@query("H1", None)
+@query("H1", """SELECT n_nationkey AS key, sha256(n_name || chr(10)) AS hash, strlen(n_name) + 1 AS size_bytes,
+    'tables' AS source FROM nation""")
 def file_manifest(spark, sf_dir) -> DataFrame:
-    """Hash and size of the data files; a path that does not exist is skipped."""
-    built = MF.build_manifest(spark, [sf_dir, sf_dir + "/absent"], source="tables")
-    return built.select(F.element_at(F.split("path", "/"), -1).alias("file"), "hash", "size_bytes", "source")
+    """Hash and size of one small text file per nation; a path that does not exist is skipped."""
+    path = scratch_path(spark, "nations")
+    P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(path)
+    built = MF.build_manifest(spark, [path, path + "/absent"], source="tables").filter("size_bytes > 0")
+    key = F.regexp_extract("path", "n_nationkey=([0-9]+)/", 1).cast("int")
+    return built.filter("path like '%/part-%'").select(key.alias("key"), "hash", "size_bytes", "source")
 
 
 @query("H3", """SELECT 'doc/' || doc_id AS path, sha256(text) AS hash FROM documents WHERE lang = 'en'""")

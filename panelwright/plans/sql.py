@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelwright.plans.canonical import EVENT_TYPES
+from panelwright.plans.canonical import EVENT_TYPES, MODEL_TYPES
 from panelwright.plans.registry import NUDGE
 
 EV = """ev AS (
@@ -49,7 +49,7 @@ FILLED_RAW = NEAR + f""", filled_raw AS (
 
 FILLED = FILLED_RAW + f""", filled AS (
   SELECT *, period AS year FROM filled_raw
-  WHERE {' AND '.join(c + ' IS NOT NULL' for c in EVENT_TYPES)})"""
+  WHERE {' AND '.join(c + ' IS NOT NULL' for c in MODEL_TYPES)})"""
 
 ORDERS_PANEL = """orders_panel AS (
   SELECT c_mktsegment AS entity,

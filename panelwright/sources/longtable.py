@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -23,47 +22,27 @@ METADATA_ENTITY = "#country+name"
 RAW_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in RAW_HEADER])
 
 
-# Up to this many files their order fits a broadcast table (about 2 MB).
-MAX_RANKED_FILES = 10_000
-POSITION_BITS = 43  # files of up to 8 TiB
+def read_long(spark: SparkSession, path, fmt: str = "csv", ordinal: str | None = None) -> DataFrame:
+    """Read a long file as text columns, with its row order as ``ordinal``.
 
-
-def read_long(spark: SparkSession, path, fmt: str = "csv") -> DataFrame:
-    """Read a long file as text columns plus ``ordinal``, the row order of the files.
-
-    Nothing is inferred; lines starting with ``#`` are comments.  The order is
+    CSV: nothing is inferred; lines starting with ``#`` are comments.  The order
+    is (file name, place in the file), at every number and size of files.  It is
     exact when many tasks read a file: a split starts at a known byte, and the
     rows a task has read so far are fewer than the bytes of its splits.
+
+    Other formats keep their own types and are turned into text here.  Encoded
+    rows have no place in bytes, so their order must be stored: ``ordinal`` names
+    that column.  Without it the result has no ``ordinal``.
     """
-    reader = spark.read.schema(RAW_SCHEMA)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False).option("comment", "#")
-    raw = reader.format(fmt).load(path)
+    if fmt != "csv":
+        raw = spark.read.format(fmt).load(path)
+        return raw.select(*[col(c).cast("string").alias(c) for c in RAW_HEADER],
+                          *([col(ordinal).alias("ordinal")] if ordinal else []))
+    raw = (spark.read.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
+           .option("comment", "#").csv(path))
     read_so_far = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = raw.select(
-        "*", F.col("_metadata.file_path").alias("__file"),
-        (F.col("_metadata.file_block_start") + read_so_far).alias("__place"),
-    )
-    files = spark.read.format("binaryFile").load(path).select("path").distinct()
-    names = sorted(r["path"] for r in files.limit(MAX_RANKED_FILES + 1).collect())
-    if len(names) == 1:
-        return placed.withColumn("ordinal", F.col("__place")).drop("__file", "__place")
-    if len(names) > MAX_RANKED_FILES:
-        # Too many to rank: order by name, at the price of a sort-based aggregate.
-        return placed.withColumn("ordinal", F.struct("__file", "__place")).drop("__file", "__place")
-    ranks = spark.createDataFrame([(_plain(n), i) for i, n in enumerate(names)], "__key string, __rank bigint")
-    key = F.regexp_replace("__file", "^([a-zA-Z0-9]+):/+", "$1:/")
-    unknown = F.raise_error(F.concat(F.lit("file without a rank: "), "__file")).cast("bigint")
-    return (
-        placed.withColumn("__key", key).join(F.broadcast(ranks), "__key", "left")
-        .withColumn("ordinal", F.shiftleft(F.coalesce("__rank", unknown), POSITION_BITS) + F.col("__place"))
-        .select(*[col(c) for c in RAW_HEADER], "ordinal")
-    )
-
-
-def _plain(uri: str) -> str:
-    """One form of a file URI: ``file:///x`` and ``file:/x`` are the same file."""
-    return re.sub("^([a-zA-Z0-9]+):/+", r"\1:/", uri)
+    place = F.col("_metadata.file_block_start") + read_so_far
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), place.alias("place")).alias("ordinal"))
 
 
 def canonical_long(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:

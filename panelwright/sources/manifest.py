@@ -2,56 +2,29 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.sources.files import path_exists
 
-# Files up to this size are hashed from the content column; larger ones are
-# streamed in pieces, so no task ever holds a large file in memory.
-IN_MEMORY_BYTES = 64 * 1024 * 1024
-PIECE = 8 * 1024 * 1024
-
 MANIFEST_SCHEMA = ("path string, hash string, size_bytes bigint, last_modified timestamp, "
                    "source string, description string")
 
 
-def _hash_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for uri in batch["path"]:
-            files, inner = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with files.open_input_stream(inner) as stream:
-                while piece := stream.read(PIECE):
-                    digest.update(piece)
-            digests.append(digest.hexdigest())
-        yield batch.assign(hash=digests)
-
-
 def build_manifest(spark: SparkSession, paths: list[str], source: str | None = None,
-                   description: str | None = None,
-                   in_memory_bytes: int = IN_MEMORY_BYTES) -> DataFrame:
-    """SHA-256, size, modification time of every file below ``paths``; absent paths are skipped."""
+                   description: str | None = None) -> DataFrame:
+    """SHA-256, size, modification time of every file below ``paths``; absent paths are skipped.
+
+    Every file is read by Spark's binary source, with the session's file systems
+    and credentials.  A task holds one file; Spark refuses files above 2 GiB.
+    """
     there = [p for p in paths if path_exists(spark, p)]
     if not there:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)
-    facts = [F.col("path"), F.col("length").alias("size_bytes"),
-             F.col("modificationTime").alias("last_modified")]
-    small = files.filter(F.col("length") <= in_memory_bytes).select(
-        *facts, F.sha2("content", 256).alias("hash"))
-    listed = files.filter(F.col("length") > in_memory_bytes).select(*facts)
-    large = listed.repartition(F.col("path")).mapInPandas(
-        _hash_streams, "path string, size_bytes bigint, last_modified timestamp, hash string")
-    return small.unionByName(large).select(
-        "path", "hash", "size_bytes", "last_modified",
+    return files.select(
+        "path", F.sha2("content", 256).alias("hash"), F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("last_modified"),
         F.lit(source).cast("string").alias("source"),
         F.lit(description).cast("string").alias("description"),
     )

@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.functions.numeric import col, to_number, to_period
 
 
 def read_panel(spark: SparkSession, path: str, fmt: str = "parquet", period: str = "Year",
-               entity_cols: list[str] | None = None) -> DataFrame:
+               entity_cols: list[str] | None = None, entity_types: dict[str, str] | None = None) -> DataFrame:
     """Read a wide panel: keys first, integer period (bad ones NULL), numeric rest.
 
     CSV columns arrive as text and are converted leniently, so the schema comes
-    from the header alone.  Row order is left to the consumer.
+    from the header alone.  Row order is left to the consumer.  ``entity_types``
+    declares keys that are folder names: left to Spark, a folder ``entity=007``
+    is read as the number 7.
     """
     keys = list(entity_cols or [])
     if fmt == "csv":
         df = spark.read.option("header", True).option("comment", "#").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
+    if entity_types:
+        declared = T.StructType([
+            T.StructField(f.name, T._parse_datatype_string(entity_types[f.name]) if f.name in entity_types else f.dataType)
+            for f in df.schema
+        ])
+        reader = spark.read.schema(declared)
+        df = (reader.option("header", True).option("comment", "#") if fmt == "csv" else reader).format(fmt).load(path)
     values = [c for c in df.columns if c not in keys and c != period]
     return df.select(
         *[col(k) for k in keys],

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from panelwright.operators.contract import Contract, validate_requests
-from panelwright.operators.scoring import score_requests
+from panelwright.operators.scoring import request_trends, score_requests
+from panelwright.session import materialize
 
 
 def request_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
@@ -21,17 +22,23 @@ def request_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet
 def start_scoring(requests: DataFrame, panel: DataFrame, models: dict[str, PipelineModel],
                   contract: Contract, default_model: str, output: str, checkpoint: str,
                   entity_cols: list[str] = ["entity"], period: str = "period",
-                  request_id: str = "request_id") -> StreamingQuery:
+                  trends: DataFrame | None = None) -> StreamingQuery:
     """Score what has arrived, then stop.
 
+    ``trends`` is the stored trend table of the panel.  Without one it is worked
+    out and stored once, before the stream starts; a micro-batch only joins it.
+
     Each micro-batch runs the batch plan, so stream and batch answers agree.
     A batch writes to its own folder and overwrites it when replayed, which
     makes the sink exactly-once; rejected requests land beside the scored ones.
     """
+    if trends is None:
+        trends = materialize(request_trends(panel, contract, entity_cols, period), "trends")
+
     def handle(batch: DataFrame, number: int) -> None:
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         scored, rejected = score_requests(held, panel, models, contract, default_model,
-                                          entity_cols, period, request_id)
+                                          entity_cols, period, trends)
         scored.write.mode("overwrite").parquet(f"{output}/scored/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{output}/rejected/batch={number}")
         held.unpersist()
@@ -49,3 +56,7 @@ def validated_stream(requests: DataFrame, contract: Contract, models: list[str],
 
 def read_scored(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.parquet(f"{output}/scored").drop("batch")
+
+
+def read_rejected(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.parquet(f"{output}/rejected").drop("batch")

@@ -218,6 +218,8 @@ def test_best_model_and_listing(frame, spark):
     listing = M.model_listing(metrics, ["Model1", "Model2"], ["year"])
     assert [(r["model"], r["is_default"]) for r in listing.orderBy("model").collect()] == [
         ("Model1", False), ("Model2", True)]
+    bare = M.model_listing(metrics, ["Model2", "Unmeasured"], ["year"]).orderBy("model").collect()
+    assert [(r["model"], r["r2"], r["is_default"]) for r in bare] == [("Model2", 0.35, True), ("Unmeasured", None, False)]
 
 
 def test_save_and_load(trained, spark, data, tmp_path):

@@ -11,11 +11,7 @@ from panelwright.plans import catalog
 
 SF = Path("/root/testdata/sf0.001")
 
-# One query per plan shape; tools/check.py compares all of them at sf0.01.
-SAMPLE = ["pivot_first", "long_layout_to_panel", "fill_linear_split_series", "lag_features_split_series",
-          "moving_average", "contiguous_folds", "column_statistics_gaps", "correlation_matrix_gaps",
-          "collinearity_filter", "scenario_last_step", "scenario_anchored", "validate_requests",
-          "request_defaults", "verify_manifest", "best_run", "impute_mean_per_entity"]
+ORACLES = sorted(catalog.oracle_sql())
 
 
 def test_every_blueprint_operator_has_a_query():
@@ -30,7 +26,7 @@ def test_oracle_keys_are_queries():
 
 
 @pytest.mark.skipif(not SF.exists(), reason="sample tables absent")
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", ORACLES)
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
     for f in SF.glob("*.parquet"):
@@ -55,6 +51,7 @@ def test_entry(spark):
 
 def test_no_row_udfs_or_collect_in_operators():
     root = Path(__file__).resolve().parent.parent / "panelwright"
-    for path in [*root.glob("operators/*.py"), *root.glob("functions/*.py")]:
+    folders = ("operators", "functions", "sources", "models", "streaming")
+    for path in [p for folder in folders for p in root.glob(f"{folder}/*.py")]:
         text = path.read_text()
         assert not re.search(r"F\.udf|@udf|\.rdd\b|crossJoin|localCheckpoint|toPandas", text), path

@@ -109,11 +109,27 @@ def test_score_requests(frame, history, models):
     assert rows(G.batch_totals(scored, rejected)) == [(3, 2, 1)]
 
 
-def test_hot_request_key_is_spread(frame, history):
+def test_defaults_are_joined_without_copies(frame, history):
+    """One default row per distinct (entity, period): a popular one is not repeated beforehand."""
     asked = frame(REQUEST, [(i, "Northland", 2016, None, None, None, None, None) for i in range(200)])
     resolved = G.resolve_features(asked, history, W)
     assert resolved.count() == 200
-    assert "__salt" in resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in resolved._jdf.queryExecution().optimizedPlan().toString().split("indicator")[0]
+
+
+def test_scenario_request_defaults(frame, history, models):
+    """Neither period nor method: linear, in the contract's year; a known year is extrapolated too."""
+    asked = frame("request_id int, entity string, period int, method string, model_name string",
+                  [(1, "Northland", None, None, "\tRidge\n"), (2, "Northland", 2030, "linear", " Ridge"), (3, "Northland", 2030, None, "\t")])
+    scored, rejected = G.score_scenario_requests(asked, history, models, W, "Ridge")
+    out = {r["request_id"]: (r["period"], r["method"], r["model_used"], r["prediction"]) for r in scored.collect()}
+    assert out[1] == out[2] == out[3] == (2030, "linear", "Ridge", out[2][3]) and rejected.count() == 0
+
+
+def test_plain_answers_carry_the_note(frame, history, models):
+    asked = frame(REQUEST, [(1, "Northland", 2020, None, None, None, None, None)])
+    scored, _ = G.score_requests(asked, history, models, W, "Ridge")
+    assert scored.first()["confidence_note"] == G.CONFIDENCE_NOTE
 
 
 def test_scenario_requests(frame, history, models):
