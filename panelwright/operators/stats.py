@@ -127,10 +127,9 @@ def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]],
 def correlation_matrix(df: DataFrame, columns: list[str], by: list[str] = []) -> DataFrame:
     """Full symmetric matrix as rows ``(a, b, corr)``; the diagonal comes from the data too."""
     upper = pair_correlations(df, [*combinations(columns, 2), *[(c, c) for c in columns]], by)
-    lower = upper.filter("a <> b").select(
-        *_keys(by), F.col("b").alias("a"), F.col("a").alias("b"), "corr"
-    )
-    return upper.unionByName(lower)
+    there, back = (F.struct(F.col(x).alias("a"), F.col(y).alias("b"), "corr") for x, y in ("ab", "ba"))
+    both = F.explode(F.when(F.col("a") == F.col("b"), F.array(there)).otherwise(F.array(there, back)))
+    return upper.select(*_keys(by), both.alias("pair")).select(*_keys(by), "pair.a", "pair.b", "pair.corr")
 
 
 def target_correlations(df: DataFrame, target: str, features: list[str],

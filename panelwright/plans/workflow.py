@@ -62,7 +62,8 @@ def training_run(panel: DataFrame, target: str | None = None, features: list[str
         target = choose_target(spark.createDataFrame(names, "indicator string"))
         if target is None:
             raise ValueError("could not find a target indicator; pass target")
-    narrow = modeling_frame(panel, target, features, keywords, max_features, blacklist, keys)
+    # written first: null fractions, period range and filling read the table, not the pivot
+    narrow = materialize(modeling_frame(panel, target, features, keywords, max_features, blacklist, keys), "narrow-panel")
     dense = drop_sparse_columns(narrow, sparse_threshold, keep=keys, target=target)
     segments = choose_segments(dense, period)
     filled = fill_missing(dense, entity_cols=entity_cols, period=period, segment_rows=segments)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     made = tempfile.mkdtemp(prefix="panelwright-")
     spark.conf.set("spark.checkpoint.dir", made)
