@@ -84,8 +84,12 @@ def record_text(date: str = "2000-01-01T00:00:00Z") -> Column:
 
 
 def write_monolithic(records: DataFrame, path: str, records_per_file: int = 50_000) -> None:
-    """Archives of one gzip stream per file; the line separator writes the end of each record."""
-    (records.select(record_text().alias("value")).hint("rebalance").write
+    """Archives of one gzip stream per file; the line separator writes the end of each record.
+
+    The files follow the partitions of ``records``; pages are moved once, for
+    their revisits, and not again for even archives.
+    """
+    (records.select(record_text().alias("value")).write
      .option("compression", "gzip").option("lineSep", "\r\n\r\n")
      .option("maxRecordsPerFile", records_per_file).text(path))
 
