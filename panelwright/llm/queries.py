@@ -18,6 +18,7 @@ from panelwright.llm import (
     warc,
 )
 from panelwright.llm.common import held, table
+from panelwright.llm.oracles import ORACLES
 from panelwright.session import scratch_path
 
 URL_RULES = [
@@ -95,7 +96,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op6_maxent_lm, op7_near_dup, op8_warc, op9_quality_classifier,
                                    op10_quality_rules)}
-ORACLES: dict[str, str] = {}
 
 
 def queries() -> dict:

@@ -178,7 +178,7 @@ def test_all_leaves_give_exact_answers(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(300)]
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # ties
-    bad = [(2000, None), (2001, []), (2002, [0.0] * 6), (2003, [1.0, None, 1, 1, 1, 1]), (2004, [float("nan")] * 6), (2005, [float("inf")] * 6), (2006, [1.0] * 5), (None, [1.0] * 6)]
+    bad = [(2000, None), (2001, []), (2002, [0.0] * 6), (2003, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (2004, [float("nan")] * 6), (2005, [float("inf")] * 6), (2006, [1.0] * 5), (None, [1.0] * 6)]
     table = spark.createDataFrame([(*r, "x") for r in rows + bad], "vec_id long, embedding array<float>, score string")
     spec = vectors.SearchSpec(neighbours=7, leaf_rows=16, recall=1.1, chunk_rows=10, sample_rows=200)
     got = vectors.nearest(table, table.where("vec_id % 20 = 0"), spec).collect()

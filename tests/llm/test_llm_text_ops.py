@@ -272,7 +272,7 @@ def test_packing(spark, name):
     placed = packing.place(packing.pieces(docs, packing.PackSpec()), packing.PackSpec())
     rows = token_files.with_crc(placed).collect()
     bins, tokens = check_packing(rows, [(r["doc_id"], r["text"] or "") for r in docs.collect()])
-    assert bins <= -(-tokens // 1024) + 2
+    assert bins <= 1.01 * tokens / 1024 + 2
     whole = packing.sequences(placed)
     assert whole.count() == bins and whole.agg(F.sum(F.size("ids"))).first()[0] == tokens
 
