@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ class SearchSpec:
 
     sample_rows bounds the vectors that the tree is built on, calibration_queries
     those whose neighbours are found by brute force to choose the number of leaf
-    visits, max_leaves the tree on the driver and in each task.  chunk_rows bounds
-    the vectors of one leaf that one task holds; larger leaves become several
-    chunks.  recall is the calibrated mean recall; all leaves are visited if no
+    visits, max_leaves the tree on the driver and in each task.  Leaves are stored
+    in cells of about chunk_rows vectors, several small leaves in one cell or one
+    large leaf in several.  recall is the calibrated mean recall; all leaves are visited if no
     smaller number reaches it.
     """
 
@@ -145,7 +146,7 @@ def kmeans(x: np.ndarray, spec: SearchSpec, rng: np.random.Generator) -> list[np
 
 
 def usable(vectors: DataFrame, length: int | None = None) -> DataFrame:
-    """(vec_id, embedding as doubles) of the rows that take part.
+    """(vec_id, vector as 8-byte doubles) of the rows that take part.
 
     Left out: null ids, null, empty or zero vectors, those with a null or
     non-finite component and those whose length is not the given one (None: the
@@ -155,14 +156,23 @@ def usable(vectors: DataFrame, length: int | None = None) -> DataFrame:
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     x = x.where(~bad & F.exists("embedding", lambda v: v != 0))
-    if length is not None:
-        return x.where(F.size("embedding") == length)
-    size = x.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return x.where(F.size("embedding") == (size["d"] if size else 0))
+    if length is None:
+        size = x.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+        length = size["d"] if size else 0
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("embedding").flatten().to_numpy().astype("<f8")
+            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * 8 * length
+            vectors = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), vectors], names=["vec_id", "vector"])
+
+    return x.where(F.size("embedding") == length).mapInArrow(pack, "vec_id long, vector binary")
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
+    """The vectors of a column, one a row."""
+    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
 
 
 def exact_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -173,23 +183,34 @@ def exact_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return total
 
 
-def best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
+def best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
+         open_: np.ndarray | None = None) -> pd.DataFrame:
     """The k best of ``vectors`` for each query, without itself; ties to the smaller id.
 
-    A matrix product picks the candidates, with room for its rounding; they are
-    scored again, exactly.
+    ``open_`` (queries x vectors) tells which of them a query visits.  A matrix
+    product picks the candidates, with room for its rounding; they are scored
+    again, exactly.
     """
-    rows = []
-    rough = queries @ vectors.T
-    rough[query_ids[:, None] == ids[None, :]] = -np.inf
-    slack = 1e-9 * max(1.0, float(np.abs(rough[np.isfinite(rough)]).max(initial=0.0)))
-    for i, q in enumerate(queries):
-        edge = np.partition(rough[i], -k)[-k] if k < len(ids) else -np.inf
-        near = np.flatnonzero((rough[i] >= edge - slack) & np.isfinite(rough[i]))
-        score = exact_products(vectors[near], q)
-        order = np.lexsort((ids[near], -score))[:k]
-        rows.append(pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[near][order], "score": score[order]}))
-    return pd.concat(rows) if rows else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    found_query, found_id, found_score = [], [], []
+    step = max(1, 4_000_000 // max(1, len(ids)))
+    for at in range(0, len(queries), step):
+        part = queries[at:at + step]
+        rough = part @ vectors.T
+        slack = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0.0)))
+        closed = query_ids[at:at + step, None] == ids[None, :]
+        rough[closed if open_ is None else closed | ~open_[at:at + step]] = -np.inf
+        edge = np.partition(rough, -k, axis=1)[:, -k] if k < len(ids) else np.full(len(part), -np.inf)
+        near = (rough >= edge[:, None] - slack) & (rough > -np.inf)
+        for i in range(len(part)):
+            rows = np.flatnonzero(near[i])
+            score = exact_products(vectors[rows], part[i])
+            order = np.lexsort((ids[rows], -score))[:k]
+            found_query.append(np.full(len(order), query_ids[at + i]))
+            found_id.append(ids[rows][order])
+            found_score.append(score[order])
+    empty = [np.zeros(0)]
+    return pd.DataFrame({"query_id": np.concatenate(found_query or empty), "vec_id": np.concatenate(found_id or empty),
+                         "score": np.concatenate(found_score or empty)})
 
 
 FOUND = "query_id long, vec_id long, score double"
@@ -203,19 +224,19 @@ def top(found: DataFrame, k: int) -> DataFrame:
 
 def brute_force(queries: pd.DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """Exact neighbours of a bounded set of queries: each task keeps its k best per query."""
-    ids, points = queries["vec_id"].to_numpy(), matrix(queries["embedding"])
+    ids, points = queries["vec_id"].to_numpy(), matrix(queries["vector"])
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield best(frame["vec_id"].to_numpy(), matrix(frame["embedding"]), ids, points, k)
+                yield best(frame["vec_id"].to_numpy(), matrix(frame["vector"]), ids, points, k)
 
     return top(vectors.mapInPandas(scan, FOUND), k)
 
 
 @dataclass
 class Index:
-    """The tree, the indexed rows (leaf, vec_id, embedding) and the calibrated number of visits."""
+    """The tree, the indexed rows (leaf, vec_id, vector) and the calibrated number of visits."""
 
     tree: Tree
     rows: DataFrame
@@ -232,11 +253,17 @@ def build_index(vectors: DataFrame, spec: SearchSpec) -> Index | None:
     """
     x = materialize(usable(vectors), "vectors")
     order = (F.xxhash64(F.lit(spec.seed), "vec_id"), F.col("vec_id"))
+
+    def squared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield pd.DataFrame({"n2": np.einsum("ij,ij->i", *[matrix(frame["vector"])] * 2)})
+
     sample = x.orderBy(*order).limit(spec.sample_rows).toPandas()
     if not len(sample):
         return None
-    facts = x.agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v)).alias("r")).first()
-    points = matrix(sample["embedding"])
+    facts = x.mapInPandas(squared, "n2 double").agg(F.count("*").alias("n"), F.max("n2").alias("r")).first()
+    points = matrix(sample["vector"])
     leaves = int(min(spec.max_leaves, max(1, facts["n"] // spec.leaf_rows), max(1, len(points) // 8)))
     tree = build_tree(points, facts["r"], leaves, spec)
     shared = x.sparkSession.sparkContext.broadcast(tree)
@@ -244,9 +271,9 @@ def build_index(vectors: DataFrame, spec: SearchSpec) -> Index | None:
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield frame.assign(leaf=shared.value.assign(matrix(frame["embedding"])))
+                yield frame.assign(leaf=shared.value.assign(matrix(frame["vector"])))
 
-    rows = materialize(x.mapInPandas(assign, "vec_id long, embedding array<double>, leaf long"), "leaves")
+    rows = materialize(x.mapInPandas(assign, "vec_id long, vector binary, leaf long"), "leaves")
     counts = np.zeros(tree.leaves, dtype=np.int64)
     for r in rows.groupBy("leaf").count().collect():
         counts[r["leaf"]] = r["count"]
@@ -257,9 +284,9 @@ def build_index(vectors: DataFrame, spec: SearchSpec) -> Index | None:
 
 def calibrate(index: Index, queries: pd.DataFrame, spec: SearchSpec) -> tuple[int, float]:
     """Widen the number of visits until the mean recall of the calibration queries is reached."""
-    truth = brute_force(queries, index.rows.select("vec_id", "embedding"), spec.neighbours)
+    truth = brute_force(queries, index.rows.select("vec_id", "vector"), spec.neighbours)
     homes = truth.join(index.rows.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toPandas()
-    points = dict(zip(queries["vec_id"], matrix(queries["embedding"]), strict=True))
+    points = dict(zip(queries["vec_id"], matrix(queries["vector"]), strict=True))
     taken_at, shares = [], []
     for query, leaves in homes.groupby("query_id")["leaf"]:
         place = {leaf: i + 1 for i, leaf in enumerate(index.tree.visit(points[query], index.tree.leaves))}
@@ -273,45 +300,50 @@ def calibrate(index: Index, queries: pd.DataFrame, spec: SearchSpec) -> tuple[in
 
 
 def search(index: Index, queries: DataFrame, spec: SearchSpec) -> DataFrame:
-    """(query_id, rank, vec_id, score): the nearest found for each query (vec_id, embedding).
+    """(query_id, rank, vec_id, score): the nearest found for each query (vec_id, vector).
 
-    A query goes to every chunk of the leaves that it visits; each chunk sends its
-    k best.  Chunks and the queries of one chunk are bounded blocks, and a query
-    set against its leaves is the work itself, so a leaf that holds a third of all
-    vectors is only more chunks.
+    A query goes once to every cell that holds a leaf it visits, with the list of
+    these leaves; the cell sends its k best.  Cells are bounded, so a leaf that
+    holds a third of all vectors is only more cells.
     """
     spark = queries.sparkSession
-    chunks = np.maximum(1, -(-index.counts // spec.chunk_rows))
-    shared = spark.sparkContext.broadcast((index.tree, index.counts, chunks, index.visits))
+    bundles = int(min(index.tree.leaves, max(1, -(-index.counts.sum() // spec.chunk_rows))))
+    home = np.arange(index.tree.leaves) % bundles
+    pieces = np.maximum(1, -(-np.bincount(home, weights=index.counts, minlength=bundles).astype(np.int64) // spec.chunk_rows))
+    shared = spark.sparkContext.broadcast((index.tree, index.counts, pieces, index.visits))
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, counts, pieces, visits = shared.value
         for frame in frames:
-            leaf, chunk, at = [], [], []
-            for i, q in enumerate(matrix(frame["embedding"]) if len(frame) else []):
-                for number in tree.visit(q, visits, counts, spec.neighbours + 1):
-                    leaf += [number] * pieces[number]
-                    chunk += range(pieces[number])
-                    at += [i] * pieces[number]
-            rows = frame.iloc[at]
-            yield pd.DataFrame({"leaf": leaf, "chunk": chunk, "vec_id": rows["vec_id"].to_numpy(),
-                                "embedding": rows["embedding"].to_numpy()})
-
-    schema = "leaf long, chunk long, vec_id long, embedding array<double>"
-    asked = queries.select("vec_id", "embedding").mapInPandas(route, schema)
-    sizes = spark.createDataFrame(pd.DataFrame({"leaf": np.arange(len(chunks)), "pieces": chunks}))
-    stored = index.rows.join(F.broadcast(sizes), "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), "pieces").alias("chunk"), "vec_id", "embedding")
+            rows = []
+            for vec_id, vector in zip(frame["vec_id"], frame["vector"], strict=True):
+                leaves = np.array(tree.visit(np.frombuffer(vector, "<f8"), visits, counts, spec.neighbours + 1))
+                for bundle in np.unique(leaves % len(pieces)).tolist():
+                    own = leaves[leaves % len(pieces) == bundle].astype("<i4").tobytes()
+                    rows += [(bundle, chunk, vec_id, vector, own) for chunk in range(pieces[bundle])]
+                if len(rows) >= 20_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    schema = "bundle long, chunk long, vec_id long, vector binary, leaves binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+    asked = queries.select("vec_id", "vector").mapInPandas(route, schema)
+    sizes = spark.createDataFrame(pd.DataFrame({"bundle": np.arange(bundles), "pieces": pieces}))
+    stored = index.rows.withColumn("bundle", F.pmod("leaf", F.lit(bundles))).join(F.broadcast(sizes), "bundle").select(
+        "bundle", F.pmod(F.xxhash64("vec_id"), "pieces").alias("chunk"), "leaf", "vec_id", "vector")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, vectors = right["vec_id"].to_numpy(), matrix(right["embedding"])
-        step = max(1, 4_000_000 // len(ids))
-        return pd.concat([best(ids, vectors, part["vec_id"].to_numpy(), matrix(part["embedding"]), spec.neighbours)
-                          for part in (left.iloc[i:i + step] for i in range(0, len(left), step))])
-
-    found = (asked.groupBy("leaf", "chunk").cogroup(stored.groupBy("leaf", "chunk")).applyInPandas(compare, FOUND))
+        here, at = np.unique(right["leaf"].to_numpy(), return_inverse=True)
+        visited = np.zeros((len(left), len(here)), dtype=bool)
+        for i, leaves in enumerate(left["leaves"]):
+            visited[i] = np.isin(here, np.frombuffer(leaves, "<i4"))
+        return best(right["vec_id"].to_numpy(), matrix(right["vector"]), left["vec_id"].to_numpy(), matrix(left["vector"]),
+                    spec.neighbours, visited[:, at])
+
+    found = asked.groupBy("bundle", "chunk").cogroup(stored.groupBy("bundle", "chunk")).applyInPandas(compare, FOUND)
     return top(found, spec.neighbours).select("query_id", "rank", "vec_id", "score")
 
 
