@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.llm import mixing, near_dup, packing, quality_rules, rule_classifier, token_files
-from panelwright.llm.common import fresh, held, table
+from panelwright.llm.common import fresh, held, small_batches, table
 from panelwright.session import materialize
 
 
+#: Pieces as packing cuts them, a checksum instead of the ids.
+DIGESTED = packing.PIECE_SCHEMA.replace("ids array<int>", "ids_crc32 long")
+
+
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the learning part of ``labels``, does not reject."""
     labels = table(spark, sf_dir, "labels").where(~held(F.col("doc_id"), 3, 1))
@@ -24,11 +28,13 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without their boilerplate lines."""
+    small_batches(spark)
     return quality_rules.strip_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return near_dup.keep_one(docs)
 
 
@@ -39,8 +45,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their place in a sequence and a checksum of their ids."""
+    small_batches(spark)
     spec = packing.PackSpec()
-    cut = token_files.with_crc(packing.pieces(docs, spec))
+    cut = packing.pieces(docs, spec, then=token_files.crc_for_ids, schema=DIGESTED)
     return packing.place(cut, spec).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
                                            "ids_crc32", "sequence_id", "offset")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +14,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send rows to Python by the thousand, unless the session says otherwise.
+
+    Documents are long: Spark's default of 10,000 rows takes tens of MB in the
+    task, in the pipe and in the Python worker, each several times.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; other letters stay."""
     return F.translate(text, UPPER, UPPER.lower())
@@ -24,6 +39,17 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that a task turns few of them into Python objects at a time.
+
+    A Python worker outlives its task: what the batches took is given back at the end.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that the table does not have."""
     taken = {c.lower() for c in df.columns}

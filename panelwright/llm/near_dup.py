@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import fresh
+from panelwright.llm.common import fresh, in_slices
 from panelwright.llm.graph import star_components
 from panelwright.llm.tokens import slices
 from panelwright.session import materialize
@@ -136,7 +136,7 @@ def sketches(docs: DataFrame, spec: DedupSpec) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 1000):
             texts = batch.column("text")
             for a, b in slices(texts):
                 sets, sizes = shingle_sets(texts.slice(a, b - a))
@@ -163,7 +163,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 1000):
             texts = pc.fill_null(batch.column("text"), "")
             for a, b in slices(texts):
                 sets, sizes = shingle_sets(texts.slice(a, b - a))
@@ -182,13 +182,13 @@ def confirmed(pairs: DataFrame, signature: DataFrame, sets: DataFrame, spec: Ded
     Sets travel with a pair only once its signatures agree.
     """
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 5000):
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, spec.minima) for c in ("x", "y"))
             good = (x == y).sum(1) * 100 >= spec.signature_percent * spec.minima
             yield batch.filter(pa.array(good)).select(["a", "b"])
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 200):
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

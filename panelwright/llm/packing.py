@@ -9,7 +9,7 @@ bounded by the sequence length, whatever the number of documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.llm.common import in_slices
 from panelwright.llm.tokens import encoder, id_lists, slices
 from panelwright.session import materialize
 
@@ -120,9 +121,13 @@ def cut(size: int, most: int) -> list[int]:
     return ([first] if first else []) + [most] * (size // most)
 
 
-def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2) -> DataFrame:
+def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2,
+           then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: str = PIECE_SCHEMA) -> DataFrame:
     """One row per piece of each document of ``docs`` (doc_id, text).
 
+    ``then`` turns each batch of pieces into one of ``schema`` before it leaves
+    the task, so that ids need not travel where they are not wanted.
+
     chunk is the task that cut it and place its number among the pieces of its
     length there.  A null text is empty and becomes one piece, the end id.  Each
     repeated row is a document of its own; whole texts are encoded.
@@ -133,7 +138,7 @@ def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chunk = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(most + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in in_slices(batches, 2000):
             texts, names = batch.column("text"), batch.column("doc_id")
             for a, b in slices(texts):
                 ids, sizes = known.encode(texts.slice(a, b - a), end_id)
@@ -149,13 +154,14 @@ def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json"
                 place[order] = np.arange(len(length)) - np.repeat(runs, np.diff(np.append(runs, len(length))))
                 place += seen[length]
                 seen += np.bincount(length, minlength=most + 1)
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [names.slice(a, b - a).take(pa.array(doc)), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int32()), pa.array(np.full(len(length), chunk), pa.int32()), pa.array(place, pa.int64()),
                      id_lists(ids, length)],
                     names=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
+                yield then(out) if then else out
 
-    return rows.mapInArrow(run, PIECE_SCHEMA)
+    return rows.mapInArrow(run, schema)
 
 
 def place(cut_pieces: DataFrame, spec: PackSpec) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import fresh
+from panelwright.llm.common import fresh, in_slices
 from panelwright.session import materialize
 
 #: Characters that count as symbols (fixed by the contract).
@@ -103,19 +103,17 @@ def facts(docs: DataFrame) -> DataFrame:
                        F.coalesce("text", F.lit("")).cast("binary").alias("body"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                texts = part.column("body").to_pylist()
-                words = [t.split() for t in texts]
-                found = [text_facts(t, w) for t, w in zip(texts, words, strict=True)]
-                longs = lambda x: pa.array(x, pa.int64())
-                lists = lambda x: pa.array(x, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("source"), part.column("digest"), longs([len(w) for w in words]),
-                     *[longs([f[i] for f in found]) for i in range(3)], longs(repeated_words(words)),
-                     lists([f[3] for f in found]), lists([f[4] for f in found])],
-                    names=[c.split()[0] for c in FACT_SCHEMA.split(", ")])
+        for part in in_slices(batches, 1000):
+            texts = part.column("body").to_pylist()
+            words = [t.split() for t in texts]
+            found = [text_facts(t, w) for t, w in zip(texts, words, strict=True)]
+            longs = lambda x: pa.array(x, pa.int64())
+            lists = lambda x: pa.array(x, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("source"), part.column("digest"), longs([len(w) for w in words]),
+                 *[longs([f[i] for f in found]) for i in range(3)], longs(repeated_words(words)),
+                 lists([f[3] for f in found]), lists([f[4] for f in found])],
+                names=[c.split()[0] for c in FACT_SCHEMA.split(", ")])
 
     return rows.mapInArrow(measure, FACT_SCHEMA)
 
@@ -196,7 +194,7 @@ def strip_lines(docs: DataFrame, spec: RuleSpec | None = None) -> DataFrame:
     out_schema = docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 500):
             at = batch.schema.get_field_index("text")
             texts, gone = batch.column(at).to_pylist(), batch.column(named).to_pylist()
             for i, lines in enumerate(gone):

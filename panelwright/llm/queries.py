@@ -30,6 +30,10 @@ URL_RULES = [
 ]
 
 
+#: Pieces as packing cuts them, a checksum instead of the ids.
+DIGESTED = packing.PIECE_SCHEMA.replace("ids array<int>", "ids_crc32 long")
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -54,7 +58,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = packing.PackSpec()
-    cut = token_files.with_crc(packing.pieces(table(spark, sf_dir, "documents"), spec))
+    cut = packing.pieces(table(spark, sf_dir, "documents"), spec, then=token_files.crc_for_ids, schema=DIGESTED)
     return packing.place(cut, spec).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
                                            "ids_crc32", "sequence_id", "offset")
 

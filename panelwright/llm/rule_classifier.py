@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import fresh
+from panelwright.llm.common import fresh, in_slices
 from panelwright.session import materialize
 
 STATISTICS = ("log_words", "mean_word", "upper_share", "digit_share", "symbol_share", "mark_share", "lone_share",
@@ -110,7 +110,7 @@ def with_statistics(docs: DataFrame, name: str = "stats") -> DataFrame:
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` {stats_type}"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 500):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             table = np.array([statistics_of((t or "").encode()) for t in texts], dtype=np.float64).reshape(-1, len(STATISTICS))
             struct = pa.StructArray.from_arrays([pa.array(table[:, i]) for i in range(len(STATISTICS))], names=list(STATISTICS))

@@ -9,6 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelwright.llm.common import in_slices
 from panelwright.llm.tokens import encoder, crc_of_lists, id_lists, slices
 
 FILE_SCHEMA = "doc_id long, shard int, shard_start long, n_tokens long, ids array<int>"
@@ -27,7 +28,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, shard, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in in_slices(batches, 2000):
             texts = batch.column("text")
             for a, b in slices(texts):
                 ids, sizes = known.encode(texts.slice(a, b - a), end_id)
@@ -74,13 +75,17 @@ def lookup(spark: SparkSession, path: str, doc_ids: Iterable[int]) -> DataFrame:
     return spark.read.schema(FILE_SCHEMA).orc(path).where(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "n_tokens", "ids")
 
 
+def crc_for_ids(batch: pa.RecordBatch, name: str = "ids_crc32") -> pa.RecordBatch:
+    """The batch with a crc32 of its column ids in that column's place, last."""
+    keep = [c for c in batch.schema.names if c != "ids"]
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], crc_of_lists(batch.column("ids"))], names=[*keep, name])
+
+
 def with_crc(rows: DataFrame, name: str = "ids_crc32") -> DataFrame:
     """``rows`` with a crc32 of the column ids in its place."""
-    keep = [c for c in rows.columns if c != "ids"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], crc_of_lists(batch.column("ids"))], names=[*keep, name])
+        for batch in in_slices(batches, 1000):
+            yield crc_for_ids(batch, name)
 
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rows.columns if c != "ids")
     return rows.mapInArrow(run, f"{schema}, `{name}` long")

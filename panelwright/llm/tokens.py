@@ -54,7 +54,7 @@ def blank_led(texts: pa.Array) -> pa.ListArray:
 
 
 SLICE_CHARS = 4_000_000
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 def without_tail(part: str) -> str:
