@@ -84,6 +84,19 @@ def test_rules_cut_menus_and_keep_near_copies(spark):
     assert "imprint" not in kept[1] and prose(1, 30) in kept[1] and "imprint" in kept[30]
 
 
+@pytest.mark.parametrize("own, kept", [(40, True), (20, False), (8, False)])
+def test_rules_count_pages_that_are_mostly_menu(spark, own, kept):
+    """60 words of menu and footer on each of 60 pages whose other words differ; and 60 real copies, which stay whole."""
+    menu = "\n".join(prose(500 + j, 10) for j in range(6))
+    body = "\n".join(prose(600 + j, 10) for j in range(12))
+    rows = [(i, f"{menu}\n{prose(1000 + i, own)}", "h") for i in range(60)]
+    rows += [(100 + i, f"{body}\n{prose(2000 + i, 5)}", "copies") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in quality_rules.strip_lines(docs).collect()}
+    assert {i: t for i, t in got.items() if i < 100} == ({i: prose(1000 + i, own) for i in range(60)} if kept else {})
+    assert {i: t for i, t in got.items() if i >= 100} == {i: t for i, t, _ in rows if i >= 100}
+
+
 def test_rules_keep_columns(spark):
     docs = awkward_docs(spark)
     out = quality_rules.strip_lines(docs)
