@@ -36,7 +36,7 @@ class Rule:
 
 
 #: Query arguments that name a visitor's way to a page, not the page.
-TRACKING = r"(?i)(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
+TRACKING = r"(?i)(?:^|&)(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -82,8 +82,8 @@ def canonical_address(node: Column) -> Column:
 def declared_target(html: Column, url: Column) -> Column:
     """Array of absolute addresses that a page declares: canonical links, then refresh redirects.
 
-    Whole pages are searched, every such tag counts.  Relative targets are
-    resolved against the page's own address.
+    Whole pages are searched, every such tag counts.  ``&amp;`` in a target is
+    ``&``.  Relative targets are resolved against the page's own address.
     """
     html = F.coalesce(html, F.lit(""))
     links = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
@@ -101,7 +101,7 @@ def declared_target(html: Column, url: Column) -> Column:
                 .otherwise(F.concat(base, F.when(folder == "", "/").otherwise(folder), t)))
 
     found = F.filter(F.concat(hrefs, jumps), lambda t: (t != "") & ~t.startswith("#"))
-    return F.transform(found, lambda t: address(resolve(t)))
+    return F.transform(found, lambda t: address(resolve(F.regexp_replace(t, "(?i)&amp;", "&"))))
 
 
 def alias_edges(pages: DataFrame, syntactic: bool = True) -> DataFrame:

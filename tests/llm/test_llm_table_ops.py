@@ -86,6 +86,20 @@ def test_urls(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], PAGE_SCHEMA), URL_RULES).count() == 0
 
 
+def test_tracking_names_are_whole_names(spark):
+    rows = [page(1, "http://b.org/p?pref=a", canonical("http://a.net/es/1")), page(2, "http://b.org/p?pref=b"), page(3, "http://b.org/p?x=1&href=c"),
+            page(4, "http://c.org/p?ref=a&x=1&gclid=2", canonical("http://a.net/es/1")), page(5, "http://c.org/p?x=1&utm_source=b&ref=c"), page(6, "http://c.org/p?x=2&ref=a")]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(spark.createDataFrame(rows, PAGE_SCHEMA), URL_RULES).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "allow"}
+
+
+def test_escaped_ampersands_name_the_same_page(spark):
+    rows = [page(1, "http://b.org/p", canonical("http://b.org/q?a=1&amp;b=2")), page(2, "http://b.org/q?a=1&b=2", refresh("http://c.org/?x=1&AMP;y=2")),
+            page(3, "http://c.org/?x=1&y=2", canonical("http://a.net/es/1"))]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(spark.createDataFrame(rows, PAGE_SCHEMA), URL_RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block"}
+
+
 def test_many_aliases_of_one_page(spark):
     rows = [page(i, f"http://s{i}.org/p", canonical("http://hub.org/")) for i in range(300)] + [page(999, "http://x.net/fr/", canonical("http://hub.org/"))]
     out = url_filter.judge_urls(spark.createDataFrame(rows, PAGE_SCHEMA), URL_RULES)
