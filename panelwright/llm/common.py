@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +49,9 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def fresh(df: DataFrame, stem: str) -> str:
