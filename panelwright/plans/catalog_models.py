@@ -347,7 +347,7 @@ def tree_set(spark, sf_dir) -> TR.Trained:
     return TR.train_models(train, test, FEATURES, TARGET, [
         LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 5}),
         LN.ModelSpec("RandomForest", "RandomForest", {"n_estimators": 100, "max_depth": 5}),
-        LN.ModelSpec("GradientBoosting", "GradientBoosting", {"n_estimators": 20, "max_depth": 3}),
+        LN.ModelSpec("GradientBoosting", "GradientBoosting", {"max_depth": 3}),
     ])
 
 

@@ -232,3 +232,10 @@ def test_save_and_load(trained, spark, data, tmp_path):
         M.score_models(data, trained.models, FEATURES, keep), "model", "period")
     with pytest.raises(FileNotFoundError):
         TR.load_models(spark, folder, ["Absent"])
+
+
+def test_tree_queries_boost_a_hundred_rounds(spark):
+    from panelwright.plans import catalog_models
+
+    model = catalog_models.tree_set(spark, "/root/testdata/sf0.001").models["GradientBoosting"]
+    assert [s.getNumTrees for s in model.stages if hasattr(s, "getNumTrees")] == [100]
