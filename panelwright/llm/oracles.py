@@ -105,10 +105,45 @@ v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND (lost IS NULL OR (100 * left_words >= 30 * n_words AND left_words >= 5)) AS kept, left_words FROM v"""
 
+# Unsigned crc32 of a short ASCII text, bit by bit.
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+PREFIX_TRIE = f"""WITH t AS (SELECT conv_id, turn, md5(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    octet_length(encode(coalesce(text, '')))::BIGINT AS nb FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS pos FROM t),
+n AS (SELECT conv_id, count(*) AS n FROM o GROUP BY conv_id),
+h AS (SELECT conv_id, n, conv_id - conv_id % 5 AS base, {CRC32.format("conv_id::VARCHAR")} % 9 AS h FROM n),
+k AS (SELECT h.conv_id, base, h, least(h, coalesce(b.n, 0)) AS k, least(h, coalesce(b.n, 0)) + greatest(h.n - h, 0) AS size FROM h LEFT JOIN n b ON b.conv_id = h.base),
+r AS (SELECT k.conv_id, size, pos AS depth, mark, nb FROM k JOIN o ON o.conv_id = k.base AND pos <= k.k
+  UNION ALL SELECT k.conv_id, size, pos - h + k.k, mark, nb FROM k JOIN o ON o.conv_id = k.conv_id AND pos > h),
+m AS (SELECT conv_id, size, depth, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path, nb FROM r
+  UNION ALL SELECT conv_id, size, 0, '', 0 FROM k),
+g AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(nb) AS nb,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = size), '')) AS ends_sha256 FROM m GROUP BY depth, path),
+c AS (SELECT depth - 1 AS depth, left(path, 32 * (depth - 1)::INTEGER) AS path, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL),
+x AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN c USING (depth, path)),
+u AS (SELECT e AS depth, left(path, 32 * e::INTEGER) AS path, sum((n_children = 0)::INTEGER) AS n_leaves, sum((n_convs - 1) * nb) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM x) GROUP BY ALL)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM x JOIN u USING (depth, path) LEFT JOIN g p ON p.depth = x.depth - 1 AND p.path = left(x.path, 32 * (x.depth - 1)::INTEGER)"""
+
+UNITS = "array_to_string(w[{0}:{1}], '')"
+FILL_IN_MIDDLE = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(x, i, 8))::BIGINT) AS h FROM d),
+n AS (SELECT *, len(w) AS n, least(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS a, greatest(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+         WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, {UNITS.format("1", "a")} AS prefix, {UNITS.format("a + 1", "b")} AS middle, {UNITS.format("b + 1", "n")} AS suffix FROM n)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
 ORACLES = {
     "op1_url_filter": URL_FILTER,
     "op4_mixing": MIXING,
     "op7_near_dup": NEAR_DUP,
     "op8_warc": WARC,
     "op10_quality_rules": RULES_OF_QUALITY,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

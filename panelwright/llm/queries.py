@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.llm import (
+    fill_in_middle,
     maxent_lm,
     mixing,
     near_dup,
     packing,
+    prefix_trie,
     quality_rules,
     rule_classifier,
+    simhash,
     token_files,
     url_filter,
     vectors,
@@ -98,8 +101,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "left_words")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arranged = fill_in_middle.arrange(table(spark, sf_dir, "documents"))
+    facts = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return fill_in_middle.restore(arranged, facts, texts=False)
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_files, op3_vector_search, op4_mixing, op5_packing, op6_maxent_lm, op7_near_dup, op8_warc, op9_quality_classifier,
-                                   op10_quality_rules)}
+                                   op10_quality_rules, op11_simhash, op12_prefix_trie, op13_fill_in_middle)}
 
 
 def queries() -> dict:
