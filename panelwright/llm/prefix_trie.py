@@ -224,7 +224,7 @@ def screen(rows: DataFrame, carry: dict, spec: TrieSpec) -> np.ndarray:
     """
     cells = spec.cells(rows.count())
     size = cells // 8
-    piece = min(spec.piece_bytes, size)
+    piece = min(size, 1 << (spec.piece_bytes.bit_length() - 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, more = (np.zeros((spec.rows, size), np.uint8) for _ in range(2))
