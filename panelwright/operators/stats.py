@@ -7,11 +7,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.crossprod import blocked_correlations
 from panelwright.functions.numeric import col, melt, pair_corr
 from panelwright.functions.quantile import exact_median
 from panelwright.sources.longtable import union_all
 
-# Expressions per aggregate when a correlation matrix is computed.
+# Expressions that one aggregate takes; more pairs are computed as blocks of products.
 PAIRS_PER_AGGREGATE = 250
 
 # Metrics where the smallest value is best.
@@ -107,9 +108,12 @@ def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]],
                       by: list[str] = []) -> DataFrame:
     """``a, b, corr`` for the given column pairs, pairwise complete.
 
-    Partial sums combine map-side, one pass per 250 pairs, each reading only
-    its own columns.
+    Up to 250 pairs are one aggregate with partial sums map-side.  More pairs of the
+    whole table come from blocks of matrix products, one scan whatever their number
+    (see ``crossprod``); per group (``by``) they take one pass per 250 pairs.
     """
+    if len(pairs) > PAIRS_PER_AGGREGATE and not by:
+        return _from_blocks(df, pairs)
     parts = []
     for start in range(0, len(pairs), PAIRS_PER_AGGREGATE):
         tile = pairs[start:start + PAIRS_PER_AGGREGATE]
@@ -124,6 +128,20 @@ def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]],
     return union_all(parts)
 
 
+def _from_blocks(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """The wanted pairs out of all pairs of the columns that occur, in the given orientation."""
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    place = {c: i for i, c in enumerate(columns)}
+    every = blocked_correlations(df, columns)
+    if len(set(pairs)) == len(columns) * (len(columns) + 1) // 2 and all(place[a] <= place[b] for a, b in pairs):
+        return every
+    wanted = df.sparkSession.createDataFrame(
+        [(a, b, *((a, b) if place[a] <= place[b] else (b, a))) for a, b in dict.fromkeys(pairs)],
+        "a string, b string, first string, second string")
+    found = every.select(F.col("a").alias("first"), F.col("b").alias("second"), "corr")
+    return wanted.join(found, ["first", "second"]).select("a", "b", "corr")
+
+
 def correlation_matrix(df: DataFrame, columns: list[str], by: list[str] = []) -> DataFrame:
     """Full symmetric matrix as rows ``(a, b, corr)``; the diagonal comes from the data too."""
     upper = pair_correlations(df, [*combinations(columns, 2), *[(c, c) for c in columns]], by)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.operators import extrapolate as X
 from panelwright.operators import screening as SC
 from panelwright.operators import stats as ST
+from panelwright.operators.reshape import pivot_first
 from panelwright.plans import canonical as P
 from panelwright.plans import sql as S
 from panelwright.plans.registry import query
@@ -94,6 +95,38 @@ def correlation_matrix_gaps(spark, sf_dir) -> DataFrame:
     return ST.correlation_matrix(panel, [*TYPES, "fixed"])
 
 
+WEEKDAYS = S.EV + """, cell AS (
+    SELECT entity, CAST(floor(period / 7) AS INTEGER) AS week, indicator || '_' || CAST(period % 7 AS VARCHAR) AS name,
+           arg_min(value, ordinal) AS v FROM ev WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+  names AS (SELECT DISTINCT name FROM cell),
+  pairs AS (SELECT a.name AS a, b.name AS b, corr(x.v, y.v) AS corr FROM names a CROSS JOIN names b
+    JOIN cell x ON x.name = a.name JOIN cell y ON y.name = b.name AND y.entity = x.entity AND y.week = x.week GROUP BY 1, 2)"""
+
+
+def weekday_panel(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    """entity = user, period = week, one column per event type and day of the week: 35 gappy columns."""
+    long = P.events_long(spark, sf_dir).withColumn("indicator", F.concat_ws("_", "indicator", F.col("period") % 7))
+    long = long.withColumn("period", F.floor(F.col("period") / 7).cast("int"))
+    names = sorted(f"{t}_{d}" for t in TYPES for d in range(7))
+    return pivot_first(long, indicators=names), names
+
+
+@query("C9", S.with_(WEEKDAYS, """SELECT a, b, CASE WHEN isnan(corr) THEN NULL ELSE corr END AS corr FROM (
+    SELECT a.name AS a, b.name AS b, p.corr FROM names a CROSS JOIN names b LEFT JOIN pairs p ON p.a = a.name AND p.b = b.name)""", ["corr"]))
+def correlation_matrix_blocked(spark, sf_dir) -> DataFrame:
+    """All pairs of 35 gappy columns from one scan, as blocks of products."""
+    panel, names = weekday_panel(spark, sf_dir)
+    return ST.correlation_matrix(panel, names)
+
+
+@query("E3", S.with_(WEEKDAYS, """SELECT b AS feature, max(abs(corr)) AS max_corr FROM pairs WHERE a < b AND NOT isnan(corr)
+    GROUP BY b HAVING round(max(abs(corr)), 12) >= 0.3""", ["max_corr"]))
+def collinear_any_blocked(spark, sf_dir) -> DataFrame:
+    """Columns with an earlier one that goes along, among 595 pairs."""
+    panel, names = weekday_panel(spark, sf_dir)
+    return SC.collinear_any(panel, names, 0.3)
+
+
 @query("C9", S.with_(S.ORDERS_PANEL, """SELECT entity, 'n_orders' AS a, 'revenue' AS b,
     corr(n_orders, revenue) AS corr FROM orders_panel GROUP BY entity""", ["corr"]))
 def correlation_by_entity(spark, sf_dir) -> DataFrame:

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from conftest import rows
 
+from panelwright.functions import crossprod as CP
 from panelwright.functions.quantile import exact_median
 from panelwright.operators import screening as SC
 from panelwright.operators import stats as ST
@@ -97,3 +98,61 @@ def test_expected_change(frame):
     guess = frame("entity string, prediction double", [("e", 60.0), ("e", 50.0), ("f", 0.0)])
     assert rows(ST.expected_change(guess, history, "y"), "entity") == [
         ("e", 50.0, 55.0, 5.0, pytest.approx(10.0), "increase"), ("f", 0.0, 0.0, 0.0, None, "stable")]
+
+
+def gappy(frame, n, d, seed, constant=True, mark="c {}.%"):
+    g = np.random.default_rng(seed)
+    base = g.normal(0, 1, (n, 5)) @ g.normal(0, 1, (5, d)) + g.normal(0, 1, (n, d)) * 0.5 + 1e6 * g.random(d)
+    base[g.random((n, d)) < 0.25] = np.nan
+    if constant:
+        base[:, 0] = 4.195
+        base[:, 1] = np.nan
+    names = [mark.format(i) for i in range(d)]
+    cells = [tuple(None if np.isnan(v) else float(v) for v in r) for r in base]
+    return frame(", ".join(f"`{c}` double" for c in names), cells), names, pd.DataFrame(base, columns=names)
+
+
+@pytest.mark.parametrize("spec", [CP.BlockSpec(), CP.BlockSpec(block=7, memory=48 * 40 * 14, cells=200, fan_in=2)])
+def test_blocked_correlations_equal_pandas(frame, spec):
+    df, names, pandas = gappy(frame, 400, 40, 1)
+    got = {(r["a"], r["b"]): r["corr"] for r in CP.blocked_correlations(df.repartition(9), names, spec).collect()}
+    assert set(got) == {(a, b) for i, a in enumerate(names) for b in names[i:]}
+    want = pandas.corr()
+    for (a, b), v in got.items():
+        if a in names[:2] or b in names[:2]:
+            assert v is None
+        else:
+            assert v == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_constant_on_common_rows_has_no_correlation(frame):
+    rows_ = [(1e9, None), (3.0, 1.0), (3.0, 2.0), (3.0, 4.0), (None, 9.0)]
+    df = frame("a double, b double", rows_)
+    got = {(r["a"], r["b"]): r["corr"] for r in CP.blocked_correlations(df.repartition(3), ["a", "b"]).collect()}
+    assert got[("a", "b")] is None and got[("b", "b")] == pytest.approx(1.0)
+    empty = CP.blocked_correlations(frame("a double, b double", []), ["a", "b"]).collect()
+    assert empty == [] or {r["corr"] for r in empty} == {None}
+    assert CP.blocked_correlations(df, []).count() == 0
+
+
+def test_three_hundred_columns_take_one_scan(frame, spark):
+    """45,150 pairs: one pass over the panel, and blocks instead of rows of pairs between the tasks."""
+    df, names, pandas = gappy(frame, 120, 300, 2, constant=False, mark="c{}")
+    scans = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        scans.add(1)
+        yield from batches
+
+    seen = df.repartition(2).mapInArrow(counting, df.schema)
+    got = ST.correlation_matrix(seen, names)
+    values = {(r["a"], r["b"]): r["corr"] for r in got.collect()}
+    assert len(values) == 300 * 300 and scans.value == 2  # a task each
+    want = pandas.corr()
+    for a, b in random.Random(4).sample(sorted(values), 500):
+        assert values[(a, b)] == pytest.approx(want.loc[a, b], abs=1e-9)
+    plan = got._jdf.queryExecution().toString()
+    assert "Aggregate" not in plan
+    leak = SC.drop_collinear(df, names[0], threshold=0.97)
+    high = {(a, b) for a in names[1:] for b in names[1:] if a < b and abs(want.loc[a, b]) >= 0.97}
+    assert {r["feature"] for r in leak.dropped.collect()} <= {x for p in high for x in p}
