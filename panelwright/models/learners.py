@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col, q
+from panelwright.models.trees import LEAF, cut_stage, read_trees
 
 SEED = 42
 MAX_DEPTH = 30  # Spark's limit; stands for "no limit"
@@ -175,7 +176,7 @@ def build_learner(kind: str, label: str, features_col: str, params: dict | None
         return AlphaRegression(alpha=float(p.get("alpha", 1.0)), l1=kind == "Lasso", **common)
     depth = MAX_DEPTH if p.get("max_depth", None) is None else min(int(p["max_depth"]), MAX_DEPTH)
     leaf = int(p.get("min_samples_leaf", 1))
-    trees = {**common, "maxBins": max_bins, "minInstancesPerNode": leaf, "seed": seed}
+    trees = {**common, "maxBins": max_bins, "minInstancesPerNode": leaf, "seed": seed, "leafCol": LEAF}
     if kind == "DecisionTree":
         return DecisionTreeRegressor(maxDepth=depth, **trees)
     if kind == "RandomForest":
@@ -207,7 +208,17 @@ def assembler(n_features: int) -> VectorAssembler:
 
 def fit_model(spec: ModelSpec, train: DataFrame, features: list[str], target: str,
               scaling: Scaling, seed: int = SEED) -> PipelineModel:
-    """Input scaling, assembler and learner as one saved unit."""
+    """Input scaling, assembler and learner as one saved unit.
+
+    ``min_samples_split`` of a tree or forest is kept by cutting what hangs below
+    smaller nodes; in a forest the rows of a node are those its tree has drawn.
+    """
     learner = build_learner(spec.kind, LABEL, INPUTS, spec.params, seed, bins_for(spec, scaling.distinct))
     stages = [scaling.stage(spec.linear), assembler(len(features)), learner]
-    return Pipeline(stages=stages).fit(train.withColumn(LABEL, col(target).cast("double")))
+    fitted = Pipeline(stages=stages).fit(train.withColumn(LABEL, col(target).cast("double")))
+    least = int(spec.params.get("min_samples_split", 2))
+    if least <= 2 or spec.kind not in ("DecisionTree", "RandomForest"):
+        return fitted
+    model = fitted.stages[-1]
+    cut = cut_stage(model, read_trees(model, train.sparkSession), len(features), None, least)
+    return PipelineModel([*fitted.stages, cut])

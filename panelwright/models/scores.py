@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.numeric import col, nan_to_null
+from panelwright.functions.numeric import col, nan_to_null, q
+from panelwright.models.trees import CutTrees, leaf_weights, ranges_of, read_trees, tree_weights
 
 METRICS_SCHEMA = "model string, MAE double, RMSE double, R2 double"
 IMPORTANCE_SCHEMA = "feature string, importance double, rank int, model string"
@@ -160,19 +164,46 @@ def partial_dependence(df: DataFrame, model: PipelineModel, features: list[str],
                        n_points: int = 30) -> DataFrame:
     """Mean prediction with ``feature`` set to each of ``n_points`` values, min to max.
 
-    Each row is repeated per grid point inside its own task and averaged
-    map-side; only the grid sums are shuffled.
+    No row is repeated per grid point.  For a linear model the mean prediction is
+    its value at the mean of the other inputs.  For trees one pass counts the rows
+    that each leaf gets if splits of ``feature`` are passed on both sides; a grid
+    point adds up the leaves whose range holds it.  Rows with a missing feature
+    don't count, the range is that of all rows.
     """
     low, high = df.agg(F.min(col(feature)), F.max(col(feature))).first()
     if low is None:
         raise ValueError(f"no values in {feature!r}")
-    steps = max(n_points - 1, 1)
-    grid = F.explode(F.sequence(F.lit(0), F.lit(n_points - 1)))
-    value = F.when(F.col("__g") == n_points - 1, F.lit(float(high) if n_points > 1 else float(low))
-                   ).otherwise(F.lit(float(low)) + F.col("__g") * F.lit((high - low) / steps))
-    rows = df.select(*[col(f) for f in features], grid.alias("__g")).withColumn(feature, value)
-    wide, names = score_wide(rows, {"m": model}, features)
-    return wide.groupBy(F.col("__g").alias("point")).agg(
-        F.first(col(feature)).alias("feature_value"),
-        F.avg(names["m"]).alias("prediction"),
-    ).withColumn("feature", F.lit(feature))
+    spark, place = df.sparkSession, features.index(feature)
+    step = (high - low) / max(n_points - 1, 1)
+    grid = [float(high) if k and k == n_points - 1 else float(low) + k * step for k in range(n_points)]
+    whole = df.select(*[col(f) for f in features])
+    for f in features:
+        whole = whole.where(col(f).isNotNull())
+    inputs = [f"__x{i}" for i in range(len(features))]
+    scaler, learner = model.stages[0], next(s for s in model.stages if hasattr(s, "coefficients") or hasattr(s, "featureImportances"))
+    if hasattr(learner, "coefficients"):
+        means = scaler.transform(whole).agg(*[F.avg(x) for x in inputs]).first()
+        points = spark.createDataFrame([(k, *[v] * len(features)) for k, v in enumerate(grid)],
+                                       "point int, " + ", ".join(f"{q(f)} double" for f in features))
+        moved = {r["point"]: r[inputs[place]] for r in scaler.transform(points).select("point", inputs[place]).collect()}
+        weights = learner.coefficients.toArray()
+        rest = learner.intercept + sum(w * m for i, (w, m) in enumerate(zip(weights, means, strict=True)) if i != place) \
+            if means[0] is not None else None
+        value = [None if rest is None else float(rest + weights[place] * moved[k]) for k in range(n_points)]
+    else:
+        trees = read_trees(learner, spark)
+        weights = tree_weights(learner, len(trees))
+        least = next((s for s in model.stages if isinstance(s, CutTrees)), None)
+        values = json.loads(least.getOrDefault(least.values)) if least else [t.prediction[t.leaves].tolist() for t in trees]
+        rows = leaf_weights(scaler.transform(whole), inputs, trees, place)
+        total, value, at = 0, np.zeros(n_points), 0
+        for t, w, own in zip(trees, weights, values, strict=True):
+            n = rows[at:at + len(own)]
+            bounds = ranges_of(t, place)
+            hit = (bounds[0][None, :] < np.array(grid)[:, None]) & (np.array(grid)[:, None] <= bounds[1][None, :])
+            value += w * (hit * (n * np.array(own))[None, :]).sum(1)
+            total = (hit * n[None, :]).sum(1)[0] if not total else total
+            at += len(own)
+        value = [float(v / total) if total else None for v in value]
+    return spark.createDataFrame([(k, g, v, feature) for k, (g, v) in enumerate(zip(grid, value, strict=True))],
+                                 "point int, feature_value double, prediction double, feature string")

@@ -246,6 +246,117 @@ def grid_search_tree(spark, sf_dir) -> DataFrame:
     return found.scores.select("param_id", "fold", "score")
 
 
+# Best split of each fold's training rows, then the best split of either side.
+TWO_LEVELS = """ins AS (SELECT k, x, y FROM rows_of),
+  v AS (SELECT DISTINCT k, x FROM ins),
+  c AS (SELECT k, (x + lead(x) OVER (PARTITION BY k ORDER BY x)) / 2.0 AS t FROM v),
+  e AS (SELECT k, t, sum(CASE WHEN x <= t THEN y END) AS sl, count(CASE WHEN x <= t THEN 1 END) AS nl,
+               sum(CASE WHEN x > t THEN y END) AS sr, count(CASE WHEN x > t THEN 1 END) AS nr
+        FROM ins JOIN c USING (k) WHERE t IS NOT NULL GROUP BY k, t),
+  b AS (SELECT k, t, sl / nl AS l, sr / nr AS r, nl, nr FROM e
+        QUALIFY row_number() OVER (PARTITION BY k ORDER BY sl * sl / nl + sr * sr / nr DESC, t) = 1),
+  side AS (SELECT k, x > t AS up, x, y FROM ins JOIN b USING (k)),
+  v2 AS (SELECT DISTINCT k, up, x FROM side),
+  c2 AS (SELECT k, up, (x + lead(x) OVER (PARTITION BY k, up ORDER BY x)) / 2.0 AS t2 FROM v2),
+  e2 AS (SELECT k, up, t2, sum(CASE WHEN x <= t2 THEN y END) AS sl, count(CASE WHEN x <= t2 THEN 1 END) AS nl,
+                sum(CASE WHEN x > t2 THEN y END) AS sr, count(CASE WHEN x > t2 THEN 1 END) AS nr
+         FROM side JOIN c2 USING (k, up) WHERE t2 IS NOT NULL GROUP BY k, up, t2),
+  b2 AS (SELECT k, up, t2, sl / nl AS l2, sr / nr AS r2 FROM e2
+         QUALIFY row_number() OVER (PARTITION BY k, up ORDER BY sl * sl / nl + sr * sr / nr DESC, t2) = 1)"""
+# Depth 2, no split of a node with fewer rows than ``least``.
+TWO_LEVEL_VALUE = """CASE WHEN nl + nr < least THEN (l * nl + r * nr) / (nl + nr)
+    WHEN depth < 2 OR CASE WHEN x > t THEN nr ELSE nl END < least OR t2 IS NULL THEN CASE WHEN x > t THEN r ELSE l END
+    WHEN x <= t2 THEN l2 ELSE r2 END"""
+SPLIT_LIMIT = 20
+
+
+@query("F5", S.with_(S.LINES_PANEL + ", rows_of AS (SELECT 0 AS k, period AS x, quantity AS y FROM lines_panel WHERE period <= 50), " + TWO_LEVELS,
+  f"""SELECT entity, period, {TWO_LEVEL_VALUE} AS prediction FROM (SELECT entity, period, period AS x, 2 AS depth, {SPLIT_LIMIT} AS least
+      FROM lines_panel) JOIN b ON true LEFT JOIN b2 ON b2.up = (x > t)""", ["prediction"]))
+def tree_with_split_limit(spark, sf_dir) -> DataFrame:
+    """A tree of depth 2 that splits no node of fewer than 20 rows, on all months."""
+    panel = materialize(P.lines_panel(spark, sf_dir), "lines-panel").withColumn("year", F.col("period"))
+    train, _ = O.temporal_split(panel, 50)
+    scaling = LN.fit_scaling(train, ["year"], "quantity")
+    spec = LN.ModelSpec("DecisionTree", "DecisionTree", {"max_depth": 2, "min_samples_split": SPLIT_LIMIT})
+    model = LN.fit_model(spec, train, ["year"], "quantity", scaling)
+    return M.score_models(panel, {"DecisionTree": model}, ["year"], keep=["entity", "period"]).select("entity", "period", "prediction")
+
+
+SPLIT_CV = S.LINES_PANEL + f""", tp AS (
+    SELECT entity, period AS x, quantity AS y, row_number() OVER (PARTITION BY entity ORDER BY period) AS pos,
+           count(*) OVER (PARTITION BY entity) AS n FROM lines_panel WHERE period <= 50),
+  tf AS (SELECT x, y, {FOLD_SQL} AS fold FROM tp), fd AS (SELECT DISTINCT fold AS k FROM tf),
+  rows_of AS (SELECT k, x, y FROM tf, fd WHERE fold <> k), {TWO_LEVELS},
+  gr(param_id, depth, least) AS (VALUES (0, 1, 2), (1, 1, {SPLIT_LIMIT}), (2, 2, 2), (3, 2, {SPLIT_LIMIT})),
+  sc AS (SELECT param_id, b.k, 1 - sum((y - {TWO_LEVEL_VALUE})^2) / (var_pop(y) * count(*)) AS score
+         FROM tf JOIN b ON tf.fold = b.k CROSS JOIN gr LEFT JOIN b2 ON b2.k = b.k AND b2.up = (x > t) GROUP BY 1, 2)"""
+
+
+def lines_folds(spark, sf_dir):
+    panel = materialize(P.lines_panel(spark, sf_dir), "lines-panel").withColumn("year", F.col("period"))
+    train, _ = O.temporal_split(panel, 50)
+    return materialize(O.contiguous_folds(train, 5), "folded")
+
+
+@query("F8 F5", S.with_(SPLIT_CV, "SELECT param_id, CAST(k AS INTEGER) AS fold, score FROM sc", ["score"]))
+def grid_search_split_limit(spark, sf_dir) -> DataFrame:
+    """Two depths and two split limits, all cut out of one fitted tree per fold."""
+    folded = lines_folds(spark, sf_dir)
+    found = TU.tune(LN.ModelSpec("DecisionTree", "DecisionTree"), folded, ["year"], "quantity", LN.fit_scaling(folded, ["year"], "quantity"),
+                    {"max_depth": [1, 2], "min_samples_split": [2, SPLIT_LIMIT]})
+    return found.scores.select("param_id", "fold", "score")
+
+
+BOOST_CV = TREE_CV.replace("leaf(param_id, least) AS (VALUES (0, 1), (1, 40))", "leaf(least) AS (VALUES (1))").replace(
+    "param_id, k, t, sl", "k, t, sl").replace("PARTITION BY param_id, k", "PARTITION BY k").split(",\n  sc AS")[0] + """,
+  i2 AS (SELECT ins.k, x, y - CASE WHEN x <= t THEN l ELSE r END AS y FROM ins JOIN b USING (k)),
+  e2 AS (SELECT k, c.t, sum(CASE WHEN x <= c.t THEN y END) AS sl, count(CASE WHEN x <= c.t THEN 1 END) AS nl,
+                sum(CASE WHEN x > c.t THEN y END) AS sr, count(CASE WHEN x > c.t THEN 1 END) AS nr
+         FROM i2 JOIN c USING (k) WHERE c.t IS NOT NULL GROUP BY k, c.t),
+  b2 AS (SELECT k, t AS t2, sl / nl AS l2, sr / nr AS r2 FROM e2
+         QUALIFY row_number() OVER (PARTITION BY k ORDER BY sl * sl / nl + sr * sr / nr DESC, t) = 1),
+  gr(param_id, rounds) AS (VALUES (0, 1), (1, 2)),
+  sc AS (SELECT param_id, b.k, 1 - sum((y - CASE WHEN x <= t THEN l ELSE r END
+             - CASE WHEN rounds = 1 THEN 0 WHEN x <= t2 THEN 0.5 * l2 ELSE 0.5 * r2 END)^2) / (var_pop(y) * count(*)) AS score
+         FROM tf JOIN b ON tf.fold = b.k JOIN b2 ON b2.k = b.k CROSS JOIN gr GROUP BY 1, 2)"""
+
+
+@query("F8 F7", S.with_(BOOST_CV, "SELECT param_id, CAST(k AS INTEGER) AS fold, score FROM sc", ["score"]))
+def grid_search_boosting_rounds(spark, sf_dir) -> DataFrame:
+    """One and two boosted stumps, both from one fit per fold."""
+    folded = lines_folds(spark, sf_dir)
+    spec = LN.ModelSpec("GradientBoosting", "GradientBoosting", {"max_depth": 1, "learning_rate": 0.5})
+    found = TU.tune(spec, folded, ["year"], "quantity", LN.fit_scaling(folded, ["year"], "quantity"), {"n_estimators": [1, 2]})
+    return found.scores.select("param_id", "fold", "score")
+
+
+# Two-feature lasso by coordinate descent: 400 rounds per penalty and fold.
+LASSO_CV = S.MODELS + f""", tp AS (
+  SELECT z.*, row_number() OVER (PARTITION BY entity ORDER BY period) AS pos,
+         count(*) OVER (PARTITION BY entity) AS n FROM z WHERE in_train),
+  tf AS (SELECT z2 AS a, z3 AS b, view AS y, {FOLD_SQL} AS fold FROM tp), fd AS (SELECT DISTINCT fold AS k FROM tf),
+  gr(param_id, alpha) AS (VALUES (0, 0.01::DOUBLE), (1, 0.5::DOUBLE), (2, 2.0::DOUBLE)),
+  ft AS (SELECT k, avg(a) AS ma, avg(b) AS mb, avg(y) AS mf, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS ab,
+                covar_pop(a, y) AS ca, covar_pop(b, y) AS cb FROM tf, fd WHERE fold <> k GROUP BY k),
+  cd AS (SELECT param_id, alpha, k, 0 AS round, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, ft.* EXCLUDE (k) FROM gr, ft
+    UNION ALL SELECT param_id, alpha, k, round + 1, na, sign(cb - ab * na) * greatest(abs(cb - ab * na) - alpha, 0) / vb, ma, mb, mf, va, vb, ab, ca, cb
+    FROM (SELECT *, sign(ca - ab * wb) * greatest(abs(ca - ab * wb) - alpha, 0) / va AS na FROM cd WHERE round < 400)),
+  sc AS (SELECT param_id, cd.k, 1 - sum((y - mf - wa * (a - ma) - wb * (b - mb))^2) / (var_pop(y) * count(*)) AS score
+         FROM tf JOIN cd ON tf.fold = cd.k WHERE round = 400 GROUP BY 1, 2)"""
+
+
+@query("F8 F4", S.with_(LASSO_CV, "SELECT param_id, CAST(k AS INTEGER) AS fold, score FROM sc", ["score"]).replace("WITH ", "WITH RECURSIVE ", 1))
+def grid_search_lasso(spark, sf_dir) -> DataFrame:
+    """Two features, three penalties, five folds, from one pass over the rows."""
+    train, _ = split_panel(spark, sf_dir)
+    folded = O.contiguous_folds(train, 5, segment_rows=P.events_segments(spark, sf_dir)).persist()
+    found = TU.tune(LN.ModelSpec("Lasso", "Lasso"), folded, ["click", "error"], TARGET, LN.fit_scaling(folded, ["click", "error"], TARGET),
+                    {"alpha": [0.01, 0.5, 2.0]})
+    folded.unpersist()
+    return found.scores.select("param_id", "fold", "score")
+
+
 # The two penalties that seed 42 draws from RIDGE_GRID.
 DRAWN_SQL = "gr(param_id, alpha) AS (VALUES (0, 10000.0::DOUBLE), (1, 0.1::DOUBLE)),"
 ALL_SQL = "gr(param_id, alpha) AS (VALUES (0, 0.1::DOUBLE), (1, 100.0::DOUBLE), (2, 10000.0::DOUBLE)),"

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from panelwright.models import learners as LN
 from panelwright.models import scores as M
@@ -172,9 +173,9 @@ def test_tree_grid_and_empty_grid(data, spark):
 
 def test_random_draws():
     grid = TU.PARAM_GRIDS["RandomForest"]
-    assert len(TU.grid_points(grid)) == 36
+    assert len(TU.grid_points(grid)) == 108  # with min_samples_split
     assert TU.random_points(grid, 5) == TU.random_points(grid, 5)
-    assert len(TU.random_points(grid, 100)) == 36
+    assert len(TU.random_points(grid, 500)) == 108
 
 
 def test_tuned_training(data):
@@ -239,3 +240,137 @@ def test_tree_queries_boost_a_hundred_rounds(spark):
 
     model = catalog_models.tree_set(spark, "/root/testdata/sf0.001").models["GradientBoosting"]
     assert [s.getNumTrees for s in model.stages if hasattr(s, "getNumTrees")] == [100]
+
+
+# trees cut out of larger ones
+
+
+def grown(x, y, depth, least_split, least_leaf):
+    """Plain greedy regression tree: (feature, threshold, low, high) or a mean."""
+    if depth == 0 or len(y) < least_split or len(y) < 2 * least_leaf:
+        return y.mean()
+    best = None
+    for f in range(x.shape[1]):
+        seen = np.unique(x[:, f])
+        for t in (seen[1:] + seen[:-1]) / 2:
+            low = x[:, f] <= t
+            if min(low.sum(), (~low).sum()) >= least_leaf:
+                score = y[low].sum() ** 2 / low.sum() + y[~low].sum() ** 2 / (~low).sum()
+                if best is None or score > best[0] + 1e-9:
+                    best = (score, f, t, low)
+    if best is None:
+        return y.mean()
+    _, f, t, low = best
+    return f, t, grown(x[low], y[low], depth - 1, least_split, least_leaf), grown(x[~low], y[~low], depth - 1, least_split, least_leaf)
+
+
+def guess(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+def one_feature(spark):
+    g = np.random.default_rng(4)
+    x = np.arange(60) * 1.0
+    y = np.where(x < 9, 50, 0) + np.where(x < 4, 9, 0) + 3 * np.sin(x / 5) + g.normal(0, 0.3, 60)
+    return x[:, None], y, spark.createDataFrame([("e", i, float(v), float(w)) for i, (v, w) in enumerate(zip(x, y))],
+                                                "entity string, period int, a double, y double")
+
+
+@pytest.mark.parametrize("split", [2, 5, 12, 100])
+@pytest.mark.parametrize("kind", ["DecisionTree", "RandomForest"])
+def test_split_limit_matches_a_plain_tree(spark, tmp_path, split, kind):
+    x, y, df = one_feature(spark)
+    params = {"max_depth": 4, "min_samples_split": split, "min_samples_leaf": 2, "n_estimators": 3, "bootstrap": False}
+    model = LN.fit_model(LN.ModelSpec(kind, kind, params), df, ["a"], "y", LN.fit_scaling(df, ["a"], "y"))
+    want = [guess(grown(x, y, 4, split, 2), r) for r in x]
+    for m in (model, saved(spark, model, str(tmp_path / "m"))):
+        got = [r[0] for r in M.score_models(df, {kind: m}, ["a"]).orderBy("period").select("prediction").collect()]
+        np.testing.assert_allclose(got, want, rtol=1e-9)
+        assert [v for _, v, _ in M.raw_importance(m, ["a"])] == [pytest.approx(0.0 if split > 60 else 1.0)]
+
+
+def saved(spark, model, folder):
+    TR.save_models({"m": model}, folder)
+    return TR.load_models(spark, folder, ["m"])["m"]
+
+
+@pytest.mark.parametrize("kind, params, grid", [
+    ("DecisionTree", {}, {"max_depth": [1, 2, 4, None], "min_samples_leaf": [1, 3]}),
+    ("RandomForest", {"bootstrap": False}, {"max_depth": [1, 3], "n_estimators": [1, 2, 4]}),
+    ("RandomForest", {"n_estimators": 3, "min_samples_leaf": 2}, {"max_depth": [1, 3, 5]}),
+    ("GradientBoosting", {"max_depth": 2, "learning_rate": 0.3}, {"n_estimators": [1, 3, 6], "subsample": [0.7, 1.0]}),
+])
+def test_cut_models_score_as_separate_fits(data, kind, params, grid):
+    """Depths, numbers of trees: what is cut out of the largest fit scores as a fit of its own."""
+    train = contiguous_folds(data.filter("period < 2000"), 3).cache()
+    scaling = LN.fit_scaling(train, FEATURES, "y")
+    spec = LN.ModelSpec(kind, kind, params)
+    found = {(r["param_id"], r["fold"]): r["score"] for r in TU.tune(spec, train, FEATURES, "y", scaling, grid).scores.collect()}
+    ready = LN.assembler(3).transform(scaling.stage(False).transform(train))
+    points = TU.grid_points(grid)
+    assert len(found) == 3 * len(points)
+    for i, p in enumerate(points):
+        for k in range(3):
+            learner = LN.build_learner(kind, "y", LN.INPUTS, {**params, **p}, LN.SEED, LN.bins_for(spec, scaling.distinct))
+            scored = learner.fit(ready.filter(f"fold <> {k}")).transform(ready.filter(f"fold = {k}"))
+            r2 = M.regression_metrics(scored.selectExpr("'m' AS model", "y", "prediction"), "y").first()["R2"]
+            assert found[(i, k)] == pytest.approx(r2, rel=1e-9), (p, k)
+
+
+def test_a_search_fits_the_largest_models_only(monkeypatch, data):
+    fitted = []
+    build = TU.build_learner
+    monkeypatch.setattr(TU, "build_learner", lambda *a: fitted.append(a[3]) or build(*a))
+    train = contiguous_folds(data.filter("period < 2000"), 2).cache()
+    grid = {"n_estimators": [2, 4, 8], "max_depth": [2, None], "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 4]}
+    found = TU.tune(LN.ModelSpec("RandomForest", "RandomForest"), train, FEATURES, "y", LN.fit_scaling(train, FEATURES, "y"), grid)
+    assert found.scores.count() == 2 * 36 and len(fitted) == 2 * 2
+    assert all(p["n_estimators"] == 8 and p["max_depth"] is None for p in fitted)
+    full = TU.PARAM_GRIDS
+    assert len(TU.tree_families(LN.ModelSpec("d", "DecisionTree"), TU.grid_points(full["DecisionTree"]))) == 3
+    boosted = TU.grid_points(full["GradientBoosting"])
+    assert 3 * len(TU.tree_families(LN.ModelSpec("g", "GradientBoosting"), boosted)) == len(boosted)
+
+
+def test_lasso_path_and_a_column_without_spread():
+    g = np.random.default_rng(2)
+    x = g.normal(0, 1, (200, 4))
+    x[:, 2] = 0
+    x[:, 3] = x[:, 0] + 0.01 * g.normal(0, 1, 200)
+    y = 2 * x[:, 0] - x[:, 1] + g.normal(0, 0.1, 200)
+    xc, yc = x - x.mean(0), y - y.mean()
+    for a, w in zip([0.5, 0.01, 3.0], TU.lasso_path(xc.T @ xc, xc.T @ yc, 200, [0.5, 0.01, 3.0]), strict=True):
+        pull = xc.T @ (yc - xc @ w) / 200
+        assert w[2] == 0
+        assert np.all(np.abs(pull[w == 0]) <= a + 1e-9)
+        np.testing.assert_allclose(pull[w != 0], a * np.sign(w[w != 0]), atol=1e-8)
+
+
+@pytest.mark.parametrize("name", ["LinearRegression", "DecisionTree", "RandomForest", "GradientBoosting"])
+@pytest.mark.parametrize("feature", ["x (1)", "year"])
+def test_partial_dependence_equals_moved_rows(trained, data, name, feature):
+    model, points = trained.models[name], 7
+    got = M.partial_dependence(data, model, FEATURES, feature, points).orderBy("point").collect()
+    low, high = data.selectExpr(f"min(`{feature}`)", f"max(`{feature}`)").first()
+    for k, r in enumerate(got):
+        value = low + (high - low) * k / (points - 1)
+        moved = data.withColumn(feature, F.lit(value))
+        want = M.score_models(moved, {"m": model}, FEATURES).agg(F.avg("prediction")).first()[0]
+        assert (r["point"], r["feature"], r["feature_value"]) == (k, feature, pytest.approx(value))
+        assert r["prediction"] == pytest.approx(want, rel=1e-9)
+
+
+def test_partial_dependence_repeats_no_row(trained, data, spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    plain = data.select("entity", "period", *[F.col(f"`{f}`").alias(f"f{i}") for i, f in enumerate(FEATURES)])
+    counted = plain.mapInArrow(counting, plain.schema).select("entity", "period", *[F.col(f"f{i}").alias(f) for i, f in enumerate(FEATURES)])
+    M.partial_dependence(counted, trained.models["RandomForest"], FEATURES, "year", 30).collect()
+    assert seen.value <= 2 * N  # the range, and the leaves
