@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import col, present
 from panelwright.models.scores import score_models, score_wide
 from panelwright.operators.contract import Contract, split_valid, validate_requests
 from panelwright.operators.extrapolate import trend_table, trend_value
+from panelwright.session import scratch_path
 
 # Upper bound, level and outlook of each band.
 STRESS_BANDS = [
@@ -79,6 +83,60 @@ def request_trends(panel: DataFrame, contract: Contract, entity_cols: list[str]
     return trend_table(panel, [f.column for f in contract.features], entity_cols, period)
 
 
+#: Entities of a batch that are looked up by name in the stored panel; more are joined without.
+NAMED_ENTITIES = 1000
+
+
+@dataclass(frozen=True)
+class ServingPanel:
+    """What requests are completed from, stored once: rows by (entity, period), trends by entity.
+
+    Both tables are bucketed by their keys and sorted within buckets, so a join
+    shuffles the requests only; a batch of few entities reads only the row groups
+    that can hold them.
+    """
+
+    history: DataFrame
+    trends: DataFrame
+
+
+def store_serving_panel(panel: DataFrame, contract: Contract, name: str, path: str, entity_cols: list[str] = ["entity"],
+                        period: str = "period", buckets: int | None = None) -> ServingPanel:
+    """Write the serving tables ``<name>_history`` and ``<name>_trends`` below ``path`` and open them.
+
+    ``buckets`` None: as many as the session has shuffle partitions.
+    """
+    spark = panel.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    on = [*entity_cols, period]
+    fields = list(dict.fromkeys(f.column for f in contract.features))
+    tables = {"history": (panel.select(*[col(c) for c in [*on, *fields]]), on),
+              "trends": (request_trends(panel, contract, entity_cols, period), entity_cols)}
+    for kind, (rows, keys) in tables.items():
+        # dealt as the buckets are, so a task writes whole buckets and not a file of each
+        (rows.repartition(n, *[col(k) for k in keys]).write.bucketBy(n, *keys).sortBy(*keys)
+         .mode("overwrite").option("path", f"{path}/{kind}").format("parquet").saveAsTable(f"{name}_{kind}"))
+    return open_serving_panel(spark, name)
+
+
+def open_serving_panel(spark, name: str) -> ServingPanel:
+    return ServingPanel(spark.table(f"{name}_history"), spark.table(f"{name}_trends"))
+
+
+def of_batch(stored: ServingPanel, batch: DataFrame, entity_cols: list[str] = ["entity"]) -> ServingPanel:
+    """The serving tables, filtered to the batch's entities where these are few.
+
+    At most NAMED_ENTITIES + 1 names come to the driver; the filter reaches the scan.
+    """
+    if len(entity_cols) != 1:
+        return stored
+    key = entity_cols[0]
+    names = [r[0] for r in batch.select(col(key)).where(col(key).isNotNull()).distinct().limit(NAMED_ENTITIES + 1).collect()]
+    if len(names) > NAMED_ENTITIES:
+        return stored
+    return ServingPanel(stored.history.where(col(key).isin(names)), stored.trends.where(col(key).isin(names)))
+
+
 def historical_defaults(keys: DataFrame, panel: DataFrame, contract: Contract,
                         entity_cols: list[str] = ["entity"], period: str = "period",
                         trends: DataFrame | None = None) -> DataFrame:
@@ -145,13 +203,11 @@ def predict_resolved(resolved: DataFrame, models: dict[str, PipelineModel], cont
     for f in contract.features:
         if f.column != f.name:
             ready = ready.withColumn(f.column, col(f.name))
-    wide, names = score_wide(ready, models, contract.model_features)
-    chosen = F.coalesce(*[
-        F.when(F.col("model_used") == name, F.col(c)) for name, c in names.items()
-    ])
     echo = [contract.period_feature, *[f.name for f in contract.features]]
     dropped = {contract.period_feature, *[f.column for f in contract.features if f.column != f.name]}
     kept = [c for c in resolved.columns if c not in dropped and c != "model_name"]
+    wide = score_by_own_model(ready, models, contract.model_features, "model_used")
+    chosen = F.col(PREDICTED)
     return wide.select(
         *[col(c) for c in kept], "model_used", chosen.alias("prediction"),
         F.round(chosen, 2).alias("prediction_rounded"),
@@ -162,6 +218,33 @@ def predict_resolved(resolved: DataFrame, models: dict[str, PipelineModel], cont
     )
 
 
+PREDICTED = "__predicted"
+
+
+def score_by_own_model(rows: DataFrame, models: dict[str, PipelineModel], features: list[str], name: str) -> DataFrame:
+    """``rows`` with PREDICTED by the model that the column ``name`` names, NULL where there is none of that name.
+
+    Rows are stored once, in a folder per model; each model reads its own folder, so
+    no row passes through a model it did not ask for.
+    """
+    spark = rows.sparkSession
+    key = "__model_key"
+    path = scratch_path(spark, "by-model")
+    known = F.when(col(name).isin(list(models)), col(name)).otherwise(F.lit(""))
+    stored = rows.withColumn(key, F.md5(known))
+    stored.write.partitionBy(key).parquet(path)
+    stored = spark.read.schema(stored.schema).parquet(path)
+    parts = [stored.where(F.col(key) == hashlib.md5(b"").hexdigest()).withColumn(PREDICTED, F.lit(None).cast("double"))]
+    for model_name, model in models.items():
+        own = stored.where(F.col(key) == hashlib.md5(model_name.encode()).hexdigest())
+        wide, made = score_wide(own, {model_name: model}, features)
+        parts.append(wide.withColumnRenamed(made[model_name], PREDICTED))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop(key)
+
+
 def score_requests(requests: DataFrame, panel: DataFrame, models: dict[str, PipelineModel],
                    contract: Contract, default_model: str, entity_cols: list[str] = ["entity"],
                    period: str = "period",
@@ -172,6 +255,9 @@ def score_requests(requests: DataFrame, panel: DataFrame, models: dict[str, Pipe
     return predict_resolved(resolved, models, contract, default_model, period), rejected
 
 
+TOTALS_SCHEMA = "total_predictions long, successful long, failed long"
+
+
 def batch_totals(scored: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """Requests in total, successful and failed (rejected ones count as failed)."""
     flags = scored.select((F.col("status") == "ok").alias("ok"))
@@ -184,6 +270,21 @@ def batch_totals(scored: DataFrame, rejected: DataFrame | None = None) -> DataFr
     )
 
 
+def write_scored(scored: DataFrame, rejected: DataFrame, scored_path: str, rejected_path: str,
+                 mode: str = "error") -> DataFrame:
+    """Write answers and rejected requests; the totals (TOTALS_SCHEMA) are counted while they are written.
+
+    The numbers come from observations of the two writes, so nothing is scored or
+    read a second time.
+    """
+    answers, refused = Observation(), Observation()
+    (scored.observe(answers, F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "ok").alias("ok"))
+     .write.mode(mode).parquet(scored_path))
+    rejected.observe(refused, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(rejected_path)
+    n, ok, bad = answers.get["n"], answers.get["ok"], refused.get["n"]
+    return scored.sparkSession.createDataFrame([(n + bad, ok, n - ok + bad)], TOTALS_SCHEMA)
+
+
 def year_range_requests(ranges: DataFrame, contract: Contract, start: str = "start_period",
                         end: str = "end_period",
                         period: str = "period") -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.models import learners as LN
+from panelwright.models import per_entity as PE
 from panelwright.models import scores as M
 from panelwright.models import training as TR
 from panelwright.models import tuning as TU
@@ -433,6 +434,29 @@ def partial_dependence_tree(spark, sf_dir) -> DataFrame:
     return M.partial_dependence(panel, fitted.models["DecisionTree"], ["year"], "year", 10)
 
 
+@query("F2 F3", S.with_(S.FILLED + """, e AS (SELECT entity, count(*) AS n, regr_slope(view, click) AS b, covar_pop(click, view) AS c,
+      var_pop(click) AS v, avg(view) AS my, avg(click) AS mx FROM filled WHERE period <= 20 GROUP BY 1),
+  f AS (SELECT *, CASE WHEN v > 0 THEN c / v * n / (n + 2.0) ELSE 0 END AS w FROM e)""",
+  """SELECT entity, n AS n_rows, CASE WHEN n >= 8 THEN w END AS weight, CASE WHEN n >= 8 THEN my - w * mx END AS intercept,
+     CASE WHEN n >= 8 THEN 'ok' ELSE 'too_few_rows' END AS status FROM f""", ["weight", "intercept"]))
+def ridge_per_entity(spark, sf_dir) -> DataFrame:
+    """A ridge of its own for every user, those with too few days reported."""
+    train, _ = split_panel(spark, sf_dir)
+    fitted = PE.fit_per_entity(train, ["click"], TARGET, alpha=2.0, least_rows=8)
+    return fitted.select("entity", "n_rows", F.get("weights", F.lit(0)).alias("weight"), "intercept", "status")
+
+
+@query("F2 F17", S.with_(S.FILLED + """, m AS (SELECT entity, regr_slope(view, click) AS w, regr_intercept(view, click) AS b, avg(view) AS my,
+      var_pop(click) AS v, count(*) AS n FROM filled WHERE period <= 20 GROUP BY 1)""",
+  """SELECT f.entity, period, view AS actual, CASE WHEN n >= 2 THEN CASE WHEN v > 0 THEN b + w * click ELSE my END END AS prediction
+     FROM filled f LEFT JOIN m ON f.entity = m.entity WHERE period > 20""", ["actual", "prediction"]))
+def per_entity_predictions(spark, sf_dir) -> DataFrame:
+    """Later days by each user's own least squares."""
+    train, test = split_panel(spark, sf_dir)
+    scored = PE.score_per_entity(test, PE.fit_per_entity(train, ["click"], TARGET), ["click"])
+    return scored.select("entity", "period", F.col(TARGET).alias("actual"), "prediction")
+
+
 @query("F11 D8", S.with_(S.LINES_PANEL + """, tr AS (
     SELECT 'year' AS f, CAST(period AS DOUBLE) AS x, gross AS y FROM lines_panel WHERE period <= 50
     UNION ALL SELECT 'quantity', quantity, gross FROM lines_panel WHERE period <= 50),

@@ -133,7 +133,9 @@ def score_requests(spark, sf_dir) -> DataFrame:
 @query("G6", S.with_(REQUESTS, """SELECT count(*) AS total_predictions,
     count(*) FILTER (WHERE codes = '') AS successful, count(*) FILTER (WHERE codes <> '') AS failed FROM ck"""))
 def batch_totals(spark, sf_dir) -> DataFrame:
-    return G.batch_totals(*scored_requests(spark, sf_dir))
+    """Totals counted while the answers are written."""
+    path = scratch_path(spark, "answers")
+    return G.write_scored(*scored_requests(spark, sf_dir), f"{path}/scored", f"{path}/rejected")
 
 
 @query("G7", f"""WITH r AS (SELECT o_orderkey, CAST(o_custkey % 90 AS INTEGER) AS a,
@@ -212,19 +214,32 @@ def scenario_requests(spark, sf_dir) -> DataFrame:
     return steady(answers.unionByName(refused, allowMissingColumns=True), "prediction")
 
 
-@query("S1", S.with_(ALL, SCORED_BODY, ["prediction", "echoed_clicks"]))
-def stream_scoring(spark, sf_dir) -> DataFrame:
-    """The same requests arriving as files, scored by a stream until none is left."""
+def streamed(spark, sf_dir) -> str:
+    """Folder of the answers to all requests, which arrived as files."""
     inbox, out = scratch_path(spark, "requests"), scratch_path(spark, "scored")
     asked = requests(spark, sf_dir)
     asked.repartition(6).write.parquet(inbox)
     run = RS.start_scoring(RS.request_stream(spark, inbox, asked.schema, files_per_batch=4),
-                           P.events_panel_stored(spark, sf_dir), linear_models(spark, sf_dir).models,
+                           P.events_panel(spark, sf_dir), linear_models(spark, sf_dir).models,
                            CONTRACT, DEFAULT, out, scratch_path(spark, "stream-checkpoint"))
     run.awaitTermination()
+    return out
+
+
+@query("S1", S.with_(ALL, SCORED_BODY, ["prediction", "echoed_clicks"]))
+def stream_scoring(spark, sf_dir) -> DataFrame:
+    """The same requests arriving as files, scored by a stream until none is left."""
+    out = streamed(spark, sf_dir)
     return scored_view(RS.read_scored(spark, out), RS.read_rejected(spark, out))
 
 
+@query("S1 G6", S.with_(REQUESTS, """SELECT count(*) AS total_predictions,
+    count(*) FILTER (WHERE codes = '') AS successful, count(*) FILTER (WHERE codes <> '') AS failed FROM ck"""))
+def stream_totals(spark, sf_dir) -> DataFrame:
+    """What the micro-batches counted while they wrote, added up."""
+    return RS.read_totals(spark, streamed(spark, sf_dir))
+
+
 # --- manifests and run log ----------------------------------------------------------
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,22 +23,20 @@ def local_session(cores: int = 8, app: str = "panelwright", shuffle_partitions:
     )
 
 
+#: Names the scratch folder where ``spark.checkpoint.dir`` does not.
+SCRATCH_KEY = "panelwright.scratch.dir"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) is a temporary folder made and remembered in the session.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset, the
+    session may in ``panelwright.scratch.dir``.  Else it is a folder of the
+    warehouse, which executors share as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if named:
-        return named.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="panelwright-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    named = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+             or spark.conf.get(SCRATCH_KEY, None))
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.numeric import col, to_number, to_period
@@ -39,19 +38,14 @@ def read_panel(spark: SparkSession, path: str, fmt: str = "parquet", period: str
 
 
 def write_panel(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                files_per_partition: int = 8, mode: str = "overwrite") -> None:
+                mode: str = "overwrite") -> None:
     """Write a wide panel.
 
-    ``partition_by`` suits low-cardinality entities only.  Rows of one folder
-    are spread over ``files_per_partition`` tasks by period, so a hot entity is
-    not written by a single task.
+    ``partition_by`` suits low-cardinality entities only.  Rows are rebalanced by
+    folder: adaptive execution writes a hot folder with several tasks and several
+    small ones with one, by the session's advisory partition size.
     """
-    writer_input = df
-    if partition_by:
-        writer_input = df.repartition(
-            *[col(c) for c in partition_by],
-            F.pmod(F.col("period"), F.lit(files_per_partition)),
-        )
+    writer_input = df.hint("rebalance", *[col(c) for c in partition_by]) if partition_by else df
     writer = writer_input.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

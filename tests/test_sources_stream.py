@@ -2,12 +2,14 @@ import hashlib
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from panelwright.models import learners as LN
 from panelwright.models import scores as M
 from panelwright.models import training as TR
 from panelwright.operators import contract as CT
 from panelwright.operators.columns import add_year_column
+from panelwright.operators import scoring as SC
 from panelwright.operators.scoring import score_requests
 from panelwright.sources import manifest as MF
 from panelwright.sources import reports as RP
@@ -106,3 +108,63 @@ def test_stream_equals_batch(spark, tmp_path):
     assert RS.read_scored(spark, out).count() == 20
     live = RS.validated_stream(RS.request_stream(spark, inbox, asked.schema), contract, ["Ridge"])
     assert live.isStreaming
+
+
+def scan_paths(plan: str) -> list[list[str]]:
+    """For each file scan of a plan's tree: the nodes above it, nearest first."""
+    lines = [x for x in plan.splitlines() if x.strip()]
+    out, stack = [], []
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-*("))
+        stack = [x for x in stack if x[0] < depth] + [(depth, line.strip(" :+-"))]
+        if "FileScan" in line or "Scan parquet" in line:
+            out.append([x for _, x in reversed(stack)])
+    return out
+
+
+def test_a_batch_shuffles_no_panel(spark, tmp_path):
+    """Joins with the stored serving panel: every exchange is over the requests; few entities are looked up by name."""
+    contract = CT.Contract(features=(CT.RequestFeature("w", "x", 8.0, 0.0, 100.0),), target="y")
+    panel = spark.range(4000).select((F.col("id") % 50).alias("entity"), (F.col("id") / 50).cast("int").alias("period"),
+                                     F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = SC.store_serving_panel(panel, contract, "plan_panel", str(tmp_path / "serving"))
+        asked = spark.createDataFrame([(i, i % 7, i, None) for i in range(40)], "request_id long, entity long, period int, w double")
+        own = SC.of_batch(stored, asked)
+        resolved = SC.resolve_features(asked, own.history, contract, trends=own.trends)
+        got = rows(resolved.select("request_id", "w"), "request_id")
+        assert got == rows(SC.resolve_features(asked, panel, contract).select("request_id", "w"), "request_id")
+        plan = resolved._jdf.queryExecution().executedPlan().toString()
+        scans = [p for p in scan_paths(plan) if "plan_panel" in p[0]]
+        assert len(scans) == 2
+        for path in scans:
+            below = path[:next(i for i, n in enumerate(path) if "Join" in n)]
+            assert not [n for n in below if "Exchange" in n], path
+            assert "In(entity" in path[0] and "Bucketed: true" in path[0]
+        many = spark.range(3000).select("id", F.col("id").alias("entity"))
+        assert SC.of_batch(stored, many) is stored
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for kind in ("history", "trends"):
+            spark.sql(f"DROP TABLE IF EXISTS plan_panel_{kind}")
+
+
+def test_rows_pass_only_the_model_they_name(spark, tmp_path):
+    data = spark.range(30).select(F.lit("e").alias("entity"), F.col("id").cast("int").alias("period"), F.col("id").cast("double").alias("x"),
+                                  (F.col("id") * 2.0).alias("y"))
+    models = TR.train_models(data, data, ["x"], "y", [LN.ModelSpec("A b", "Ridge"), LN.ModelSpec("B/c", "LinearRegression")]).models
+    asked = data.select("period", "x", F.when(F.col("period") < 10, "A b").when(F.col("period") < 20, "B/c").when(F.col("period") < 25, "none").alias("m"))
+    got = rows(SC.score_by_own_model(asked, models, ["x"], "m"), "period")
+    each = {n: dict(rows(M.score_models(data, {n: model}, ["x"], ["period"]).select("period", "prediction"), "period")) for n, model in models.items()}
+    assert got == [(p, x, m, each[m][p] if m in each else None) for p, x, m in rows(asked, "period")]
+
+
+def test_totals_are_counted_while_writing(spark, tmp_path):
+    scored = spark.createDataFrame([(1, "ok"), (2, "failed"), (3, "ok")], "request_id int, status string")
+    rejected = spark.createDataFrame([(4,)], "request_id int")
+    totals = SC.write_scored(scored, rejected, str(tmp_path / "s"), str(tmp_path / "r"))
+    assert rows(totals) == rows(SC.batch_totals(scored, rejected)) == [(4, 2, 2)]
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 3
+    none = SC.write_scored(scored.where("false"), rejected.where("false"), str(tmp_path / "s0"), str(tmp_path / "r0"))
+    assert rows(none) == [(0, 0, 0)]
