@@ -225,7 +225,6 @@ def whole_ids(file, texts, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(file))
-    t.encode_special_tokens = True
     return [e.ids + [end] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -239,6 +238,34 @@ def test_parts_give_the_ids_of_the_whole(file, texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole_ids(file, texts, 9)
 
 
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_with_special_strings_and_a_small_memory(file, monkeypatch):
+    """Strings of special tokens in any case, parts forgotten all the time, long words."""
+    import pyarrow as pa
+
+    from panelwright.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 30)
+    known = Encoder(file)
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|>", "x<|startoftext|>y", "<|endoftext", "plain", "", "a <|endoftext|><|endoftext|>.", "w" * 5000 + "!!"]
+    texts += [prose(i, 40) + "### Δx. Σς, İstanbul... don't" for i in range(12)]
+    for at in range(0, len(texts), 3):
+        ids, sizes = known.encode(pa.array(texts[at:at + 3] + ["common words come again"]), 9)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole_ids(file, texts[at:at + 3] + ["common words come again"], 9)
+        assert all(len(w) <= tokens.LONGEST for w in known.place) or len(known.place) <= 60
+
+
+def test_token_files_of_a_very_long_text(spark, tmp_path):
+    """Over one slice of four million bytes, beside short ones."""
+    text = "\n".join(prose(i % 90, 900) for i in range(1400))
+    assert len(text) > 4_000_000
+    docs = spark.createDataFrame([(1, "short"), (2, text), (3, None), (4, "<|endoftext|>" + text[:1000])], "doc_id long, text string")
+    token_files.write(docs, str(tmp_path / "orc"))
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_files.with_crc(token_files.read(spark, str(tmp_path / "orc"))).collect()}
+    ids = whole_ids("word_bpe_49k.json", ["short", text, "", "<|endoftext|>" + text[:1000]], 1)
+    assert got == {i + 1: (len(x), crc(x)) for i, x in enumerate(ids)}
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
