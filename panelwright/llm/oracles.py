@@ -91,11 +91,7 @@ ln AS (SELECT *, array_to_string({words(LOWER.format('x'))}, ' ') AS line, len({
 dup AS (SELECT rid, count(*) - count(DISTINCT x) AS n FROM ln GROUP BY rid),
 lw AS (SELECT rid, source, digest, total, line, sum(n) AS n FROM ln GROUP BY ALL),
 u AS (SELECT DISTINCT source, digest, total, line, n FROM lw),
-often AS (SELECT source, line FROM u GROUP BY ALL HAVING count(*) > 50),
-few AS (SELECT u.* FROM u JOIN often o ON u.source IS NOT DISTINCT FROM o.source AND u.line = o.line),
-cp AS (SELECT source, digest, sum(n) * 2 > max(total) AS copied FROM few GROUP BY ALL),
-bad AS (SELECT s.source, s.line FROM few s JOIN cp ON s.source IS NOT DISTINCT FROM cp.source AND s.digest = cp.digest
-        GROUP BY ALL HAVING count(*) FILTER (WHERE NOT copied) + max(copied::INTEGER) > 50),
+bad AS (SELECT source, line FROM u GROUP BY ALL HAVING count(*) > 50),
 lost AS (SELECT rid, sum(n) AS n FROM lw JOIN bad b ON lw.source IS NOT DISTINCT FROM b.source AND lw.line = b.line GROUP BY rid),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,

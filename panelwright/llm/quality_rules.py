@@ -11,7 +11,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm import near_dup
 from panelwright.llm.common import fresh, in_slices
 from panelwright.session import materialize
 
@@ -123,61 +122,15 @@ def digest(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def boilerplate(docs: DataFrame, known: DataFrame, spec: RuleSpec) -> DataFrame:
-    """(source, line) of the lines that more documents of a host share than allowed.
+def boilerplate(known: DataFrame, spec: RuleSpec) -> DataFrame:
+    """(source, line) of the lines that more distinct documents of a host have than allowed.
 
-    Documents count once per distinct text, and copies of one document count once
-    together: see ``copies``.  A page that is mostly menu counts like any other.
-
-    Distinct texts are combined before each shuffle, so one line in a third of all
-    documents is a count like any other.
-    """
-    lines = (known.where("n_words > 0").select("source", "digest", "n_words", F.arrays_zip("lines", "line_words").alias("z"))
-             .select("source", "digest", "n_words", F.explode("z").alias("z"))
-             .select("source", "digest", "n_words", F.col("z.lines").alias("line"), F.col("z.line_words").alias("words")).distinct())
-    often = lines.groupBy("source", "line").agg(F.count("*").alias("n"), F.min("words").alias("size")).where(
-        F.col("n") > spec.max_line_documents).select(F.col("source").alias("s"), F.col("line").alias("l"), "n", "size")
-    some = materialize(lines.join(often, F.col("source").eqNullSafe(F.col("s")) & (F.col("line") == F.col("l"))).drop("s", "l"), "frequent-lines")
-    told = _on_text(some, copies(docs, some), "left")
-    one = F.coalesce("original", F.xxhash64("source", "digest"))
-    return told.groupBy("source", "line").agg(F.count_distinct(one).alias("n")).where(F.col("n") > spec.max_line_documents).select("source", "line")
-
-
-def copies(docs: DataFrame, some: DataFrame) -> DataFrame:
-    """(source, digest, original) of the texts that may be copies; texts of one original count once.
-
-    ``some`` has the frequent lines of each text.  Only texts of which most words
-    lie in such lines are looked at.  Those that operator 7 links have one
-    original.  So have the texts that are edited here and there: they share four
-    fifths of their words with the common text of the texts with the same rarest
-    frequent line, have four fifths of it, and lack lines of it where they have
-    words of their own (at most two own words for one that they lack).  Pages with
-    one menu lack nothing of it and stay apart.
+    Documents of equal text are one.  They are combined before the shuffle, so one
+    line in a third of all documents is a count like any other.
     """
-    texts = some.groupBy("source", "digest").agg(
-        F.max("n_words").alias("n_words"), F.sum("words").alias("shared"), F.sum("size").alias("held"),
-        F.min(F.struct("n", "line")).alias("rarest")).where("shared * 2 > n_words")
-    texts = materialize(texts.withColumn("id", F.xxhash64("source", "digest")), "mostly-frequent")
-    if texts.isEmpty():
-        return texts.select("source", "digest", F.col("id").alias("original"))
-    bodies = docs.select(F.xxhash64("source", digest(F.col("text"))).alias("doc_id"), "text")
-    bodies = bodies.join(texts.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    linked = near_dup.components(materialize(bodies, "mostly-frequent-texts"))
-
-    near = texts.where("shared * 5 >= n_words * 4")
-    common = _on_text(some, near.select("source", "digest", "rarest"), "inner").groupBy("source", "rarest", "line").agg(
-        F.max("size").alias("size")).groupBy("source", "rarest").agg(F.sum("size").alias("common"))
-    common = common.select(F.col("source").alias("s"), F.col("rarest").alias("r"), "common")
-    edited = near.join(common, F.col("source").eqNullSafe(F.col("s")) & (F.col("rarest") == F.col("r"))).where(
-        "held * 5 >= common * 4 AND n_words - shared <= 2 * (common - held)").select("id", F.xxhash64(F.lit("edited"), "source", "rarest").alias("edited"))
-    out = texts.join(linked.select(F.col("doc_id").alias("id"), "component_id"), "id").join(edited, "id", "left")
-    return out.select("source", "digest", F.coalesce("edited", "component_id").alias("original"))
-
-
-def _on_text(rows: DataFrame, texts: DataFrame, how: str) -> DataFrame:
-    """Join on (source, digest), null sources equal; ``texts`` has one row per key."""
-    texts = texts.withColumnsRenamed({"source": "s", "digest": "d"})
-    return rows.join(texts, F.col("source").eqNullSafe(F.col("s")) & (F.col("digest") == F.col("d")), how).drop("s", "d")
+    lines = known.where("n_words > 0").select("source", "digest", F.explode("lines").alias("line")).distinct()
+    often = lines.groupBy("source", "line").agg(F.count("*").alias("n"))
+    return often.where(F.col("n") > spec.max_line_documents).select("source", "line")
 
 
 def _on_line(rows: DataFrame, lines: DataFrame, how: str) -> DataFrame:
@@ -195,7 +148,7 @@ def judge(docs: DataFrame, spec: RuleSpec | None = None) -> DataFrame:
     """
     spec = spec or RuleSpec()
     known = materialize(facts(docs), "text-facts")
-    bad = materialize(boilerplate(docs, known, spec), "boilerplate")
+    bad = materialize(boilerplate(known, spec), "boilerplate")
     rows = known.select("doc_id", "source", "digest", F.explode(F.arrays_zip("lines", "line_words")).alias("z")).select(
         "doc_id", "source", "digest", F.col("z.lines").alias("line"), F.col("z.line_words").alias("words")).distinct()
     lost = _on_line(rows, bad, "left_semi").groupBy("doc_id", "source", "digest").agg(
