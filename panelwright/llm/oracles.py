@@ -18,24 +18,40 @@ RULES = """rules(rule, host, path, verdict) AS (VALUES ('com/', 'com', '/', 'all
   ('example.com/en/', 'example.com', '/en/', 'block'), ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
   ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block'))"""
 ADDRESS = f"{LOWER.format("regexp_extract(regexp_replace({0}, '(?s)^.*?://', ''), '^[^/?#]*')")} || regexp_extract({{0}}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
-TRACKING = "(?i)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
+# A declared target as an absolute url, and its path without dot segments.
+HTML = "regexp_replace(coalesce(html, ''), '(?s)<!--.*?(?:-->|$)', '', 'g')"
+FRONT = f"""'http://' || {LOWER.format("regexp_extract(regexp_replace({0}, '(?s)^.*?://', ''), '^[^/?#]*')")}"""
+INNER = "regexp_extract(regexp_replace({0}, '(?s)^.*?://', ''), '(?s)^[^/?#]*([^?#]*)', 1)"
+
+
+def resolved(target: str, base: str) -> str:
+    front, inner = FRONT.format(base), INNER.format(base)
+    folder = f"coalesce(nullif(regexp_extract({inner}, '(?s)^(.*/)', 1), ''), '/')"
+    return f"""CASE WHEN regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {target} WHEN starts_with({target}, '//') THEN 'http:' || {target}
+    WHEN starts_with({target}, '/') THEN {front} || {target} WHEN starts_with({target}, '?') THEN {front} || coalesce(nullif({inner}, ''), '/') || {target}
+    ELSE {front} || {folder} || {target} END"""
+
+
+def dotless(whole: str) -> str:
+    inner = f"regexp_extract({whole}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    steps = f"string_split(regexp_replace({inner}, '(/\\.{{1,2}})$', '\\1/'), '/')"
+    return f"""regexp_extract({whole}, '(?s)^(.*?://[^/?#]*)', 1) || CASE WHEN contains({inner}, '/.') THEN array_to_string(list_reduce(
+      list_transform({steps}, lambda s: [s]), lambda done, s: CASE WHEN s[1] = '..' THEN done[1:greatest(len(done) - 1, 1)] WHEN s[1] = '.' THEN done
+      ELSE list_concat(done, s) END), '/') ELSE {inner} END || regexp_extract({whole}, '(?s)^.*?://[^?#]*(.*)$', 1)"""
+
 
 URL_FILTER = f"""WITH RECURSIVE {RULES},
-p AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS html, {PARTS.format('url')} FROM pages),
-tags AS (SELECT rid, url, host, path, regexp_extract(unnest(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>')),
-           '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1) AS t FROM p WHERE contains(url, '://')
-  UNION ALL SELECT rid, url, host, path, regexp_extract(unnest(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>')),
-           '(?is)\\burl\\s*=\\s*[''"]?([^"''\\s>]+)', 1) FROM p WHERE contains(url, '://')),
-aim AS (SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
-    WHEN starts_with(t, '/') THEN 'http://' || host || t
-    ELSE 'http://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || t END AS t
-  FROM tags WHERE t <> '' AND NOT starts_with(t, '#')),
-declared AS (SELECT {ADDRESS.format('url')} AS a, {ADDRESS.format('t')} AS b FROM aim),
-named AS (SELECT {ADDRESS.format('url')} AS a FROM p WHERE contains(url, '://') UNION SELECT b FROM declared),
-spelled AS (SELECT a, regexp_replace(regexp_replace(regexp_extract(a, '(?s)^([^?]*)', 1), '\\.html?$', ''), '/+$', '') AS stem,
-    regexp_replace(regexp_replace(regexp_replace(regexp_extract(a, '(?s)\\?(.*)$', 1), '{TRACKING}', '', 'g'), '&{{2,}}', '&', 'g'), '^&|&$', '', 'g') AS query
-  FROM named),
-one AS (SELECT a, b FROM declared UNION SELECT a, stem || CASE WHEN query <> '' THEN '?' || query ELSE '' END FROM spelled),
+p AS (SELECT row_number() OVER () AS rid, page_id, url, {HTML} AS html, {PARTS.format('url')} FROM pages),
+based AS (SELECT *, replace(regexp_extract(html, '(?is)<base\\b[^>]*?\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&') AS named FROM p WHERE contains(url, '://')),
+rooted AS (SELECT rid, url, html, CASE WHEN named = '' THEN url ELSE {resolved('named', 'url')} END AS base FROM based),
+tags AS (SELECT rid, url, base, regexp_extract(unnest(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>')),
+           '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1) AS t FROM rooted
+  UNION ALL SELECT rid, url, base, regexp_extract(unnest(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>')),
+           '(?is)\\burl\\s*=\\s*[''"]?([^"''\\s>]+)', 1) FROM rooted),
+aim AS (SELECT url, base, regexp_replace(t, '(?i)&amp;', '&', 'g') AS t FROM tags WHERE t <> '' AND NOT starts_with(t, '#')),
+whole AS (SELECT url, {resolved('t', 'base')} AS t FROM aim),
+straight AS (SELECT url, {dotless('t')} AS t FROM whole),
+one AS (SELECT {ADDRESS.format('url')} AS a, {ADDRESS.format('t')} AS b FROM straight),
 edges AS (SELECT a, b FROM one WHERE a <> b UNION SELECT b, a FROM one WHERE a <> b),
 nodes AS (SELECT DISTINCT a, {PARTS.format("('://' || a)")} FROM edges),
 judged AS (SELECT a, first(verdict ORDER BY length(rule) DESC) AS verdict FROM nodes n JOIN rules r

@@ -79,48 +79,78 @@ def canonical_address(node: Column) -> Column:
     return F.concat(path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
 
 
-def declared_target(html: Column, url: Column) -> Column:
-    """Array of absolute addresses that a page declares: canonical links, then refresh redirects.
+#: A scheme and two slashes at the start: an absolute target.
+ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
 
-    Whole pages are searched, every such tag counts.  ``&amp;`` in a target is
-    ``&``.  Relative targets are resolved against the page's own address.
+
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments worked out; ``..`` never leaves the root."""
+    segments = F.split(F.regexp_replace(path, r"(/\.{1,2})$", "$1/"), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"),
+                       lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+                       .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    return F.when(path.contains("/."), F.array_join(kept, "/")).otherwise(path)
+
+
+def resolve(rows: DataFrame, target: str, base: str, out: str) -> DataFrame:
+    """``rows`` with the declared ``target`` as an absolute url: as it is with a scheme, else against ``base``.
+
+    Column by column: each step stands on the one before, without repeating it.
     """
-    html = F.coalesce(html, F.lit(""))
-    links = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
-    metas = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))
+    t, host, path, folder = (F.col(c) for c in (target, "_host", "_path", "_folder"))
+    of_base = host_and_path(F.col(base))
+    rows = rows.withColumns({"_host": of_base[0], "_path": of_base[1]})
+    rows = rows.withColumn("_folder", F.regexp_extract("_path", r"(?s)^(.*/)", 1))
+    root = F.concat(F.lit("http://"), host)
+    whole = (F.when(t.rlike(ABSOLUTE), t)
+             .when(t.startswith("//"), F.concat(F.lit("http:"), t))
+             .when(t.startswith("/"), F.concat(root, t))
+             .when(t.startswith("?"), F.concat(root, F.when(path == "", "/").otherwise(path), t))
+             .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), t)))
+    rows = rows.withColumn("_whole", whole)
+    rows = rows.withColumns({"_front": F.regexp_extract("_whole", r"(?s)^(.*?://[^/?#]*)", 1),
+                             "_inner": F.regexp_extract("_whole", r"(?s)^.*?://[^/?#]*([^?#]*)", 1),
+                             "_rest": F.regexp_extract("_whole", r"(?s)^.*?://[^?#]*(.*)$", 1)})
+    rows = rows.withColumn(out, F.concat(F.col("_front"), without_dots(F.col("_inner")), F.col("_rest")))
+    return rows.drop("_host", "_path", "_folder", "_whole", "_front", "_inner", "_rest")
+
+
+def declared_targets(pages: DataFrame) -> DataFrame:
+    """(url, target): the absolute urls that pages (url, html) declare by canonical links and refresh redirects.
+
+    Whole pages are searched, every such tag outside comments counts.  ``&amp;`` in a
+    target is ``&``.  Relative targets are resolved against the page's first base
+    address, or else its own, and ``.`` and ``..`` in their paths are worked out.
+    """
+    html = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<!--.*?(?:-->|$)", "")
+    rows = pages.where(F.col("url").contains("://")).select("url", html.alias("html"))
+    links = F.regexp_extract_all("html", F.lit(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), F.lit(0))
+    metas = F.regexp_extract_all("html", F.lit(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"), F.lit(0))
     hrefs = F.transform(links, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
     jumps = F.transform(metas, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1))
-    host, path = host_and_path(url)
-    base = F.concat(F.lit("http://"), host)
-    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
-
-    def resolve(t: Column) -> Column:
-        return (F.when(t.contains("://"), t)
-                .when(t.startswith("//"), F.concat(F.lit("http:"), t))
-                .when(t.startswith("/"), F.concat(base, t))
-                .otherwise(F.concat(base, F.when(folder == "", "/").otherwise(folder), t)))
-
+    named = F.regexp_extract("html", r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    plain = lambda t: F.regexp_replace(t, "(?i)&amp;", "&")
     found = F.filter(F.concat(hrefs, jumps), lambda t: (t != "") & ~t.startswith("#"))
-    return F.transform(found, lambda t: address(resolve(F.regexp_replace(t, "(?i)&amp;", "&"))))
+    rows = rows.select("url", plain(named).alias("named"), found.alias("found")).where(F.size("found") > 0)
+    rows = rows.select("url", "named", F.explode("found").alias("found")).withColumn("found", plain(F.col("found")))
+    rows = resolve(rows, "named", "url", "base").withColumn("base", F.when(F.col("named") == "", F.col("url")).otherwise(F.col("base")))
+    return resolve(rows, "found", "base", "target").select("url", "target")
 
 
-def alias_edges(pages: DataFrame, syntactic: bool = True) -> DataFrame:
+def alias_edges(pages: DataFrame, syntactic: bool = False) -> DataFrame:
     """Edges (a, b) between addresses of ``pages`` (url, html) that name the same page.
 
     Redirects and canonical links found in the html; with ``syntactic`` also the
     canonical form that each address (page or target) has by its spelling.
     """
-    named = pages.where(F.col("url").contains("://")).select(
-        address(F.col("url")).alias("a"), declared_target(F.col("html"), F.col("url")).alias("targets"))
-    edges = named.where(F.size("targets") > 0).select("a", F.explode("targets").alias("b"))
-    if syntactic:
-        spelled = named.select(F.explode(F.concat(F.array("a"), F.col("targets"))).alias("a"))
-        spelled = spelled.select("a", canonical_address(F.col("a")).alias("b"))
-        edges = edges.unionByName(spelled.where("a <> b"))
-    return edges
+    targets = declared_targets(pages).select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b"))
+    if not syntactic:
+        return targets
+    named = pages.where(F.col("url").contains("://")).select(address(F.col("url")).alias("a")).unionByName(targets.select(F.col("b").alias("a")))
+    return targets.unionByName(named.select("a", canonical_address(F.col("a")).alias("b")).where("a <> b"))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], syntactic: bool = True) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], syntactic: bool = False) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, alias_blocked) for every row of ``pages``.
 
     ``pages`` needs page_id, url and html; other columns are ignored whatever
@@ -129,7 +159,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], syntactic: bool = True)
     blocked address, else allow; a page that a rule allows stays allowed.  A null
     url, or one without ``://``, has empty host and path, no alias and is allowed
     unless a rule fits.  Repeated rows are judged alike; an empty table gives an
-    empty result.
+    empty result.  ``syntactic`` also takes addresses of one canonical spelling for
+    one page, which no page declares.
 
     Edges, not pages, go through the component rounds, and only blocked addresses
     come back to be joined; adaptive execution splits a very frequent address.
