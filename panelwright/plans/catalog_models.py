@@ -547,14 +547,14 @@ SCENARIO = S.MODELS + ", " + S.trend_state().split(S.PANEL + ", ")[1].replace("c
 
 
 def steady(df: DataFrame, *names: str) -> DataFrame:
-    """Large values by the decimal logarithm of their size: exponential trends differ in their last digits."""
+    """Large values to seven digits: exponential trends differ between engines in their last ones."""
     def of(c):
-        return F.when(F.abs(c) > 1000, F.signum(c) * F.log10(F.abs(c))).otherwise(c)
+        return F.when(F.abs(c) > 1000, F.format_string("%.6e", c).cast("double")).otherwise(c)
     return df.withColumns({n: of(F.col(n)) for n in names})
 
 
 def steady_sql(body: str, *names: str) -> str:
-    of = ", ".join(f"CASE WHEN abs({n}) > 1000 THEN sign({n}) * log10(abs({n})) ELSE {n} END AS {n}" for n in names)
+    of = ", ".join(f"CASE WHEN abs({n}) > 1000 THEN printf('%.6e', {n})::DOUBLE ELSE {n} END AS {n}" for n in names)
     return f"SELECT * REPLACE ({of}) FROM ({body})"
 
 

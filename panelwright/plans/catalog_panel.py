@@ -72,6 +72,37 @@ def pivot_first_in_file_order(spark, sf_dir) -> DataFrame:
     return R.pivot_first(long.withColumn("entity", F.col("entity_key")), indicators=["click", "error"])
 
 
+def quoted_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The events as a long CSV whose indicator names have a line end and quotes inside."""
+    path = scratch_path(spark, "quoted-csv")
+    events = P.events_long(spark, sf_dir)
+    (events.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select(
+        F.concat(F.lit("User "), F.col("entity")).alias("Country Name"), F.lit("C").alias("Country Code"),
+        F.concat(F.lit('the "'), F.col("indicator"), F.lit('",\nper day')).alias("Indicator Name"), F.upper("indicator").alias("Indicator Code"),
+        F.when(F.col("indicator") == "signup", "n/a").otherwise(F.col("period").cast("string")).alias("Year"),
+        F.col("value").cast("string").alias("Value"))
+     .write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
+    return path
+
+
+@query("A1 C1", S.with_(S.PANEL, """SELECT 'user ' || entity AS entity, period, click, error FROM panel
+    WHERE click IS NOT NULL OR error IS NOT NULL""", ["click", "error"]))
+def read_long_quoted(spark, sf_dir) -> DataFrame:
+    """Cells with line ends and quotes inside: first values in file order."""
+    long = L.canonical_long(L.read_long(spark, quoted_csv(spark, sf_dir), multiline=True))
+    names = {f'the "{t}",\nper day': t for t in ("click", "error")}
+    wide = R.pivot_first(long.withColumn("entity", F.col("entity_key")), indicators=list(names))
+    return wide.select("entity", "period", *[F.col(f"`{n}`").alias(t) for n, t in names.items()])
+
+
+@query("A1 B3", """SELECT event_type AS indicator, count(*) AS n_rows, 'no_period' AS reason FROM events
+    WHERE event_type = 'signup' GROUP BY 1""")
+def dropped_long_rows(spark, sf_dir) -> DataFrame:
+    """What the canonical form leaves out, and why."""
+    raw = L.read_long(spark, quoted_csv(spark, sf_dir), multiline=True)
+    return L.dropped_rows(raw).groupBy(F.lower("Indicator Code").alias("indicator"), "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("A2 A4", S.with_(S.PANEL, f"SELECT entity, period, {TYPES_SQL} FROM panel", TYPES))
 def panel_roundtrip(spark, sf_dir) -> DataFrame:
     """Wide panel written as Parquet and read back."""

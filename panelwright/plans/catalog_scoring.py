@@ -187,14 +187,14 @@ NOTE = G.INTERPRETATION.split("%s. ")[-1]
          FROM sx JOIN w ON w.model = model_used, st)""",
   steady_sql(f"""SELECT request_id, entity, period, method, model_used, prediction,
      'By ' || period || ', ' || entity || ' is predicted to have ' || {BANDS} || ' water stress at ' ||
-     CASE WHEN method = 'exponential' THEN '' ELSE printf('%.1f', prediction) END || '%. This indicates ' || {OUTLOOKS} || '. {NOTE}'
+     CASE WHEN abs(prediction) >= 1e6 THEN '' ELSE printf('%.1f', prediction) END || '%. This indicates ' || {OUTLOOKS} || '. {NOTE}'
      AS interpretation FROM sp
      UNION ALL SELECT request_id, entity, period, method, NULL, NULL, 'rejected: method_unknown' FROM sq WHERE method = 'cubic'""",
      "prediction"), ["prediction"]))
 def scenario_requests(spark, sf_dir) -> DataFrame:
     """Extrapolate by the asked method, score, explain in words; some name no method or no period.
 
-    Exponential answers are compared by the logarithm and without the number in the text.
+    Numbers of a million and more are compared to seven digits, and left out of the text.
     """
     day = F.datediff(F.to_date("ts"), F.lit(P.EVENT_DAY_ZERO).cast("date"))
     kind = F.col("event_type")
@@ -206,7 +206,7 @@ def scenario_requests(spark, sf_dir) -> DataFrame:
         F.when(kind == "signup", "Ridge").alias("model_name"))
     scored, rejected = G.score_scenario_requests(asked, P.events_panel_stored(spark, sf_dir),
                                                  linear_models(spark, sf_dir).models, CONTRACT, DEFAULT)
-    text = F.when(F.col("method") == "exponential", F.regexp_replace("interpretation", r"at -?[0-9.]+%", "at %")).otherwise(
+    text = F.when(F.abs("prediction") >= 1e6, F.regexp_replace("interpretation", r"at -?[0-9.]+%", "at %")).otherwise(
         F.col("interpretation"))
     answers = scored.select("request_id", "entity", "period", "method", "model_used", "prediction", text.alias("interpretation"))
     refused = rejected.select("request_id", "entity", "period", "method", F.concat(

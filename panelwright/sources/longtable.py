@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +24,22 @@ METADATA_ENTITY = "#country+name"
 RAW_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in RAW_HEADER])
 
 
-def read_long(spark: SparkSession, path, fmt: str = "csv", ordinal: str | None = None) -> DataFrame:
-    """Read a long file as text columns, with its row order as ``ordinal``.
+# Bits of an order number that hold the place in a file; the rest hold the file's rank.
+PLACE_BITS = 40
 
-    CSV: nothing is inferred; lines starting with ``#`` are comments.  The order
-    is (file name, place in the file), at every number and size of files.  It is
-    exact when many tasks read a file: a split starts at a known byte, and the
-    rows a task has read so far are fewer than the bytes of its splits.
+
+def read_long(spark: SparkSession, path, fmt: str = "csv", ordinal: str | None = None, multiline: bool = False) -> DataFrame:
+    """Read a long file as text columns, with its row order as the number ``ordinal``.
+
+    CSV: nothing is inferred; lines starting with ``#`` are comments, a quote inside
+    quotes is doubled, a backslash is itself.  The order
+    is (file name, place in the file) packed into one number, at every number and
+    size of files: up to 8 million files of 1 TB.  It is exact when many tasks read
+    a file: a split starts at a known byte, and the rows a task has read so far are
+    fewer than the bytes of its splits.
+
+    ``multiline`` reads cells with line ends inside quotes.  A file is then read by
+    one task.  Without it such a cell tears its row; ``dropped_rows`` finds those.
 
     Other formats keep their own types and are turned into text here.  Encoded
     rows have no place in bytes, so their order must be stored: ``ordinal`` names
@@ -39,10 +50,32 @@ def read_long(spark: SparkSession, path, fmt: str = "csv", ordinal: str | None =
         return raw.select(*[col(c).cast("string").alias(c) for c in RAW_HEADER],
                           *([col(ordinal).alias("ordinal")] if ordinal else []))
     raw = (spark.read.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
-           .option("comment", "#").csv(path))
+           .option("comment", "#").option("escape", '"').option("multiLine", multiline).csv(path))
+    # the list writes file:///x where a row's metadata has file:/x
+    names = sorted(re.sub("^([^:/]+):///", r"\1:/", f) for f in raw.inputFiles())
+    if len(names) >= 1 << (63 - PLACE_BITS):
+        raise ValueError(f"{len(names)} files have no order number")
+    # an Arrow table has a known size, so Spark broadcasts it while it is small
+    ranks = spark.createDataFrame(pa.table({"__file": pa.array(names, pa.string()), "__rank": pa.array(range(len(names)), pa.int64())}))
     read_so_far = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    place = F.col("_metadata.file_block_start") + read_so_far
-    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), place.alias("place")).alias("ordinal"))
+    rows = raw.select("*", F.regexp_replace("_metadata.file_path", "^([^:/]+):///", "$1:/").alias("__file"), (F.col("_metadata.file_block_start") + read_so_far).alias("__place"))
+    known = F.coalesce("__rank", F.raise_error(F.concat(F.lit("file without a rank: "), F.col("__file"))).cast("long"))
+    number = F.shiftleft(known, PLACE_BITS).bitwiseOR(F.col("__place"))
+    return rows.join(ranks, "__file", "left").select(*[col(c) for c in RAW_HEADER], number.alias("ordinal"))
+
+
+def dropped_rows(raw: DataFrame) -> DataFrame:
+    """The rows that ``canonical_long`` leaves out, with a ``reason``.
+
+    ``torn``: a cell holds an odd number of quotes, as when a quoted line end was
+    read without ``multiline``; ``no_period``: the year is no number.  Torn rows
+    that have a period are kept by ``canonical_long``, and are listed here too.
+    """
+    odd = F.lit(False)
+    for c in RAW_HEADER:
+        odd = odd | (F.coalesce(F.length(col(c)) - F.length(F.replace(col(c), F.lit('"'))), F.lit(0)) % 2 == 1)
+    reason = F.when(odd, "torn").when(to_period(col("Year")).isNull(), "no_period")
+    return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def canonical_long(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:

@@ -129,3 +129,24 @@ def test_file_order_over_many_splits(spark, tmp_path):
         assert rows(panel.select("period", "x"), "period") == [(2000 + i, float(i)) for i in range(50)]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_line_ends_inside_quotes(spark, tmp_path):
+    """Whole rows with ``multiline``; without it the torn halves are reported."""
+    header = RAW.splitlines()[0]
+    (tmp_path / "a b%20.csv").write_text(header + '\nNorth,N,"say ""x"",\nnow",I,2000,1\n# note\n"North\nland",N,y,I,2001,2\nNorth,N,y,I,bad,3\n')
+    (tmp_path / "c.csv").write_text(header + '\nNorth,N,"say ""x"",\nnow",I,2000,9\n')
+    raw = L.read_long(spark, str(tmp_path), multiline=True)
+    assert dict(raw.dtypes)["ordinal"] == "bigint"
+    assert [(r["Indicator Name"], r["Value"]) for r in raw.orderBy("ordinal").collect()] == [
+        ('say "x",\nnow', "1"), ("y", "2"), ("y", "3"), ('say "x",\nnow', "9")]
+    assert rows(R.pivot_first(L.canonical_long(raw), ["entity_code"]), "period") == [("N", 2000, 1.0, None), ("N", 2001, None, 2.0)]
+    assert rows(L.dropped_rows(raw).select("Value", "reason")) == [("3", "no_period")]
+    torn = L.dropped_rows(L.read_long(spark, str(tmp_path)))
+    assert torn.filter("reason = 'torn'").count() >= 3
+
+
+def test_pivot_of_a_csv_hashes(raw):
+    """The order is one number, so the first value needs no sort around the shuffle."""
+    plan = R.pivot_first(L.canonical_long(raw), indicators=["Population", "Precipitation"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
