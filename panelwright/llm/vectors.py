@@ -28,7 +28,8 @@ class SearchSpec:
     those whose neighbours are found by brute force to choose the number of leaf
     visits, max_leaves the tree on the driver and in each task.  Leaves are stored
     in cells of about chunk_rows vectors, several small leaves in one cell or one
-    large leaf in several.  recall is the calibrated mean recall; all leaves are visited if no
+    large leaf in several.  The queries that visit a cell are dealt into blocks of
+    about query_rows, each of which meets the cell in a task of its own.  recall is the calibrated mean recall; all leaves are visited if no
     smaller number reaches it.
     """
 
@@ -40,6 +41,7 @@ class SearchSpec:
     calibration_queries: int = 200
     recall: float = 0.97
     chunk_rows: int = 4096
+    query_rows: int = 4096
     iterations: int = 8
     seed: int = 7
 
@@ -303,8 +305,9 @@ def search(index: Index, queries: DataFrame, spec: SearchSpec) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found for each query (vec_id, vector).
 
     A query goes once to every cell that holds a leaf it visits, with the list of
-    these leaves; the cell sends its k best.  Cells are bounded, so a leaf that
-    holds a third of all vectors is only more cells.
+    these leaves; the cell sends its k best.  Cells and the blocks of queries that
+    meet them are bounded, so a leaf that holds a third of all vectors is only more
+    cells, and one that every query visits only more blocks.
     """
     spark = queries.sparkSession
     bundles = int(min(index.tree.leaves, max(1, -(-index.counts.sum() // spec.chunk_rows))))
@@ -328,10 +331,16 @@ def search(index: Index, queries: DataFrame, spec: SearchSpec) -> DataFrame:
 
     schema = "bundle long, chunk long, vec_id long, vector binary, leaves binary"
     names = [c.split()[0] for c in schema.split(", ")]
-    asked = queries.select("vec_id", "vector").mapInPandas(route, schema)
-    sizes = spark.createDataFrame(pd.DataFrame({"bundle": np.arange(bundles), "pieces": pieces}))
+    asked = materialize(queries.select("vec_id", "vector").mapInPandas(route, schema), "asked")
+    blocks = np.ones(bundles, np.int64)
+    for r in asked.where("chunk = 0").groupBy("bundle").count().collect():  # a row per bundle
+        blocks[r["bundle"]] = -(-r["count"] // spec.query_rows)
+    sizes = spark.createDataFrame(pd.DataFrame({"bundle": np.arange(bundles), "pieces": pieces, "blocks": blocks}))
+    asked = asked.join(F.broadcast(sizes), "bundle").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit("block")), "blocks"))
     stored = index.rows.withColumn("bundle", F.pmod("leaf", F.lit(bundles))).join(F.broadcast(sizes), "bundle").select(
-        "bundle", F.pmod(F.xxhash64("vec_id"), "pieces").alias("chunk"), "leaf", "vec_id", "vector")
+        "bundle", F.pmod(F.xxhash64("vec_id"), "pieces").alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        "leaf", "vec_id", "vector")
+    cell = ("bundle", "chunk", "block")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -343,7 +352,8 @@ def search(index: Index, queries: DataFrame, spec: SearchSpec) -> DataFrame:
         return best(right["vec_id"].to_numpy(), matrix(right["vector"]), left["vec_id"].to_numpy(), matrix(left["vector"]),
                     spec.neighbours, visited[:, at])
 
-    found = asked.groupBy("bundle", "chunk").cogroup(stored.groupBy("bundle", "chunk")).applyInPandas(compare, FOUND)
+    asked = asked.select(*cell, "vec_id", "vector", "leaves")
+    found = asked.groupBy(*cell).cogroup(stored.groupBy(*cell)).applyInPandas(compare, FOUND)
     return top(found, spec.neighbours).select("query_id", "rank", "vec_id", "score")
 
 
