@@ -614,6 +614,24 @@ def forecast_report(spark, sf_dir) -> DataFrame:
     return steady(report, "prediction")
 
 
+@query("A8 G1 G3 G4", S.with_(SCENARIO + """, h AS (SELECT entity, arg_max(view, period) AS last_value,
+    min(period) AS data_start, max(period) AS data_end FROM panel WHERE period <= 29 GROUP BY 1)""",
+  steady_sql(f"""SELECT entity, model, period AS prediction_period, prediction, method AS scenario_method,
+      last_value, data_start, data_end FROM scp JOIN h USING (entity) WHERE period = {SCENARIO_END}""", "prediction"),
+                     ["prediction", "last_value"]))
+def forecast_workflow(spark, sf_dir) -> DataFrame:
+    """The whole forecast workflow, from the stored wide panel to the report; a model that needs an absent feature is left out."""
+    panel = P.events_panel_stored(spark, sf_dir)
+    known = P.events_stored(spark, sf_dir)
+    models = linear_models(spark, sf_dir).models
+    odd = TR.train_models(known.withColumn("absent", F.col("click")), known.withColumn("absent", F.col("click")), ["absent"], TARGET,
+                          [LN.ModelSpec("Odd", "LinearRegression")]).models
+    report, failed = WF.forecast_run(panel.join(known.select("entity").distinct(), "entity", "left_semi"), {**models, **odd}, FEATURES, TARGET,
+                                     29, SCENARIO_END)
+    assert list(failed) == ["Odd"]
+    return steady(report, "prediction")
+
+
 @query("G13", S.with_(SCENARIO + """, h AS (SELECT entity, arg_max(view, period) AS current FROM panel GROUP BY 1),
   x AS (SELECT entity, model, max(prediction) FILTER (WHERE method = 'linear') AS linear,
                max(prediction) FILTER (WHERE method = 'exponential') AS exponential,

@@ -103,6 +103,18 @@ def dropped_long_rows(spark, sf_dir) -> DataFrame:
     return L.dropped_rows(raw).groupBy(F.lower("Indicator Code").alias("indicator"), "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("A3 C2", S.with_(S.EV, "SELECT period, " + ", ".join(f"avg(value) FILTER (WHERE indicator = '{t}') AS {t}" for t in TYPES)
+                        + " FROM ev GROUP BY period", TYPES))
+def first_readable_panel(spark, sf_dir) -> DataFrame:
+    """The first candidate that can be read, a long CSV, told from a wide one by its names, to a wide panel of means."""
+    folder = scratch_path(spark, "candidates")
+    P.events_long(spark, sf_dir).select(
+        F.concat(F.lit("User "), F.col("entity")).alias("Country Name"), F.col("indicator").alias("Indicator Name"),
+        F.col("period").alias("Year"), F.col("value").alias("Value")).write.option("header", True).csv(f"{folder}/long.csv")
+    found = L.read_any(spark, [f"{folder}/absent.parquet", f"{folder}/absent.csv", f"{folder}/long.csv"])
+    return L.to_panel(found, "User", indicators=TYPES)
+
+
 @query("A2 A4", S.with_(S.PANEL, f"SELECT entity, period, {TYPES_SQL} FROM panel", TYPES))
 def panel_roundtrip(spark, sf_dir) -> DataFrame:
     """Wide panel written as Parquet and read back."""
