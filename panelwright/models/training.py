@@ -28,6 +28,9 @@ from panelwright.models.tuning import PARAM_GRIDS, TuningResult, tune
 from panelwright.sources.files import path_exists
 
 
+TASK_BYTES = 1 << 20
+
+
 @dataclass
 class Trained:
     models: dict[str, PipelineModel]
@@ -57,15 +60,17 @@ def train_models(train: DataFrame, test: DataFrame, features: list[str], target:
         wanted = specs or default_specs()
         scaling = fit_scaling(narrow, features, target,
                               count_distinct=not all(s.linear for s in wanted))
+        # iterative learners run hundreds of jobs over these rows: no more tasks than there are megabytes
+        dense = narrow.coalesce(-(-scaling.n_rows * len(needed) * 8 // TASK_BYTES))
         models, tuning = {}, {}
         for spec in wanted:
             if tune_first:
-                tuning[spec.name] = tune(spec, narrow, features, target, scaling,
+                tuning[spec.name] = tune(spec, dense, features, target, scaling,
                                          grid=grids.get(spec.kind, {}), fold=folds, seed=seed,
                                          parallelism=parallelism)
                 models[spec.name] = tuning[spec.name].best_model
             else:
-                models[spec.name] = fit_model(spec, narrow, features, target, scaling, seed)
+                models[spec.name] = fit_model(spec, dense, features, target, scaling, seed)
     finally:
         narrow.unpersist()
     scored = score_models(test.select(*[col(c) for c in [*keys, *features, target]]), models,
