@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from panelwright.llm import (
     fill_in_middle,
-    maxent_lm,
     mixing,
     near_dup,
+    ngram_lm,
     packing,
     prefix_trie,
     quality_rules,
@@ -67,7 +67,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = maxent_lm.score(table(spark, sf_dir, "documents"), ~held(F.col("doc_id"), 7, 2))
+    scored = ngram_lm.score(table(spark, sf_dir, "documents"), ~held(F.col("doc_id"), 7, 2))
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
 
