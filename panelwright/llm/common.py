@@ -43,11 +43,16 @@ def words(text: Column) -> Column:
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a few rows, so that a task turns few of them into Python objects at a time.
 
-    A Python worker outlives its task: what the batches took is given back at the end.
+    What the batches took is given back at the end.
     """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system; a Python worker outlives its task."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim:
