@@ -53,7 +53,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeat: int =
     of the whole text, a null text has none.  A null source is a source of its
     own, a null doc_id sorts first; repeated rows are sampled one by one.  A
     source without words has target 0 and no copies.  The offset of a source comes
-    from its name and ``seed``, so reruns agree.  An empty table stays empty.
+    from its name and ``seed``, and rows of one doc_id and size stand in the order
+    of a hash of their texts, so reruns agree.  An empty table stays empty.
 
     Rows are dealt by ranges of (source, size, doc_id), so a source that holds a
     third of them lies in many partitions; one count per partition and source is
@@ -66,7 +67,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeat: int =
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     rows = docs.select(F.struct(*own).alias("row"), size.alias("size"), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (rows.repartitionByRange(parts, "source", "size", "doc_id").sortWithinPartitions("source", "size", "doc_id")
+    rows = (rows.repartitionByRange(parts, "source", "size", "doc_id").sortWithinPartitions("source", "size", "doc_id", F.xxhash64("text"))
             .withColumn("pos", F.monotonically_increasing_id()))
     rows = materialize(rows, "mix").withColumn("chunk", F.shiftright("pos", 33))
     counts = materialize(rows.groupBy("source", "chunk").agg(

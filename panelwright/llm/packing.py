@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import in_slices
+from panelwright.llm.common import fresh, in_slices
 from panelwright.llm.tokens import encoder, id_lists, slices
 from panelwright.session import materialize
 
@@ -165,7 +165,7 @@ def pieces(docs: DataFrame, spec: PackSpec, tokenizer: str = "byte_bpe_50k.json"
 
 
 def place(cut_pieces: DataFrame, spec: PackSpec) -> DataFrame:
-    """Rows of ``pieces`` (ids or not, more columns or not) with sequence_id and offset.
+    """Rows of ``pieces`` (ids or not, more columns or not) with sequence_id and offset, which replace columns of these names.
 
     The rows are stored first: numbers within a task must not change between the
     counting and the placing.  The driver sees one count per length, a task the
@@ -173,13 +173,14 @@ def place(cut_pieces: DataFrame, spec: PackSpec) -> DataFrame:
     number all pieces of a length; the most frequent length is as many rows per
     chunk as any other chunk holds.
     """
-    rows = materialize(cut_pieces, "pieces")
+    rows = materialize(cut_pieces.drop("sequence_id", "offset"), "pieces")
+    from_here, rank_name = fresh(rows, "base"), fresh(rows, "rank")
     counts = materialize(rows.groupBy("length", "chunk").agg(F.count("*").alias("n")), "piece-counts")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = plan(totals, spec)
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    numbered = rows.join(base, ["length", "chunk"]).withColumn("rank", F.col("base") + F.col("place"))
+    base = counts.select("length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(from_here))
+    numbered = rows.join(base, ["length", "chunk"]).withColumn(rank_name, F.col(from_here) + F.col("place"))
     keep = [c for c in rows.columns if c not in ("chunk", "place")]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep) + ", sequence_id long, offset long"
     shared = rows.sparkSession.sparkContext.broadcast({c: slots[c].to_numpy(dtype=np.int64) for c in slots.columns})
@@ -189,7 +190,7 @@ def place(cut_pieces: DataFrame, spec: PackSpec) -> DataFrame:
         keys = (s["length"] << 46) + s["first"]
         for batch in batches:
             length = batch.column("length").to_numpy().astype(np.int64)
-            rank = batch.column("rank").to_numpy()
+            rank = batch.column(rank_name).to_numpy()
             slot = np.searchsorted(keys, (length << 46) + rank, side="right") - 1
             nth = rank - s["first"][slot]
             sequence = s["sequence"][slot] + nth // s["each"][slot]
@@ -197,7 +198,7 @@ def place(cut_pieces: DataFrame, spec: PackSpec) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(sequence), pa.array(offset)],
                                              names=[*keep, "sequence_id", "offset"])
 
-    return numbered.select(*keep, "rank").mapInArrow(seat, schema)
+    return numbered.select(*keep, rank_name).mapInArrow(seat, schema)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

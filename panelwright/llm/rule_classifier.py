@@ -169,7 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, spec: FitSpec | None = None) -> Rule
     rows = rows.cache()
     forest = RandomForestClassifier(numTrees=spec.trees, maxDepth=spec.depth, seed=spec.seed, weightCol="weight",
                                     featureSubsetStrategy="onethird", subsamplingRate=0.8).fit(rows)
-    rules = tree_rules(forest, STATISTICS)[:spec.max_rules]
+    rules = tree_rules(forest, STATISTICS)
+    if len(rules) > spec.max_rules:
+        raise ValueError(f"{len(rules)} rules, more than max_rules={spec.max_rules}: use fewer or shallower trees")
     if not rules:
         rows.unpersist()
         return RuleModel(float(np.log(p / (1 - p))), [])

@@ -321,6 +321,12 @@ def test_histories_stop_at_text_starts():
 # classifier
 
 
+def test_classifier_refuses_more_rules_than_allowed(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    with pytest.raises(ValueError, match="max_rules=1:"):
+        rule_classifier.fit(docs, labels, rule_classifier.FitSpec(max_rules=1))
+
+
 def test_classifier_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

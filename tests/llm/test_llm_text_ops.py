@@ -328,6 +328,25 @@ def test_packing(spark, name):
     assert whole.count() == bins and whole.agg(F.sum(F.size("ids"))).first()[0] == tokens
 
 
+def test_mixture_of_rows_that_share_an_id_does_not_depend_on_their_order(spark):
+    rows = [(i % 3, f"word{i} " * (1 + i % 2), "ab"[i % 5 > 0]) for i in range(40)]
+    one, two = (Counter(tuple(r) for r in mixing.emit(mixing.mix(spark.createDataFrame(x, "doc_id long, text string, source string").repartition(p))).collect())
+                for x, p in ((rows, 1), (rows[::-1], 5)))
+    assert one == two and sum(one.values()) > 0
+
+
+def test_packing_keeps_clashing_columns(spark):
+    spec = packing.PackSpec()
+    cut = packing.pieces(awkward_docs(spark), spec)
+    wider = cut.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce("doc_id", F.lit(0)).cast("string")).alias(c)
+                              for c in ("rank", "Base", "n", "sequence_id", "offset", "first", "each")])
+    placed = packing.place(wider, spec)
+    assert len(set(placed.columns)) == len(placed.columns) and dict(placed.dtypes)["sequence_id"] == "bigint"
+    rows = placed.collect()
+    assert all(r[c] == f"{c} of {r['doc_id'] or 0}" for r in rows for c in ("rank", "Base", "n", "first", "each"))
+    check_packing(token_files.with_crc(placed).collect(), [(r["doc_id"], r["text"] or "") for r in awkward_docs(spark).collect()])
+
+
 def test_packing_nothing(spark):
     assert packing.place(packing.pieces(no_docs(spark), packing.PackSpec()), packing.PackSpec()).count() == 0
 
