@@ -65,10 +65,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeat: int =
     mixed = fresh(docs, "mixed")
     own = docs.columns if keep is None else list(keep)
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    rows = docs.select(F.struct(*own).alias("row"), size.alias("size"), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"))
+    rows = docs.select(F.struct(*own).alias("row"), size.alias("size"), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"),
+                       F.xxhash64("text").alias("tie"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = (rows.repartitionByRange(parts, "source", "size", "doc_id").sortWithinPartitions("source", "size", "doc_id", F.xxhash64("text"))
-            .withColumn("pos", F.monotonically_increasing_id()))
+    rows = (rows.repartitionByRange(parts, "source", "size", "doc_id").sortWithinPartitions("source", "size", "doc_id", "tie")
+            .drop("tie").withColumn("pos", F.monotonically_increasing_id()))
     rows = materialize(rows, "mix").withColumn("chunk", F.shiftright("pos", 33))
     counts = materialize(rows.groupBy("source", "chunk").agg(
         F.count("*").alias("n"), F.min("pos").alias("first"), F.sum("size").alias("words")), "mix-counts")
