@@ -103,19 +103,19 @@ def scenario(panel: DataFrame, indicators: list[str], last_period: int, target_p
 
     One output row per entity, period and method.  ``last_step`` reads periods
     up to ``last_period`` only.  Entities with fewer than two rows are an error
-    (``raise``) or get no scenario (``skip``).  Years and methods are unrolled
-    after the last shuffle.
+    (``raise``), get no scenario (``skip``) or the last value under every method
+    (``last``).  Years and methods are unrolled after the last shuffle.
     """
     unknown = set(methods) - set(TREND_METHODS)
     if unknown:
         raise ValueError(f"unknown trend methods: {sorted(unknown)}")
     if target_period <= last_period:
         raise ValueError("target_period must be after last_period")
-    if on_short not in ("raise", "skip"):
-        raise ValueError("on_short must be 'raise' or 'skip'")
+    if on_short not in ("raise", "skip", "last"):
+        raise ValueError("on_short must be 'raise', 'skip' or 'last'")
     seen_to = last_period if rule == "last_step" else None
     wide = trend_table(panel, indicators, entity_cols, period, seen_to)
-    if rule == "last_step":
+    if rule == "last_step" and on_short != "last":
         enough = F.col("__n_rows") >= 2
         if on_short == "skip":
             wide = wide.filter(enough)

@@ -562,7 +562,7 @@ def scenario_rows(spark, sf_dir) -> DataFrame:
     """Scenario inputs from the raw panel of the users that have a filled series."""
     panel = P.events_panel_stored(spark, sf_dir)
     known = P.events_stored(spark, sf_dir).select("entity").distinct()
-    return X.scenario(panel.join(known, "entity", "left_semi"), ["click", "error"], 29, SCENARIO_END, METHODS)
+    return X.scenario(panel.join(known, "entity", "left_semi"), ["click", "error"], 29, SCENARIO_END, METHODS, on_short="last")
 
 
 def scenario_scores(spark, sf_dir, target=SCENARIO_END) -> DataFrame:
@@ -627,7 +627,7 @@ def forecast_workflow(spark, sf_dir) -> DataFrame:
     odd = TR.train_models(known.withColumn("absent", F.col("click")), known.withColumn("absent", F.col("click")), ["absent"], TARGET,
                           [LN.ModelSpec("Odd", "LinearRegression")]).models
     report, failed = WF.forecast_run(panel.join(known.select("entity").distinct(), "entity", "left_semi"), {**models, **odd}, FEATURES, TARGET,
-                                     29, SCENARIO_END)
+                                     29, SCENARIO_END, on_short="last")
     assert list(failed) == ["Odd"]
     return steady(report, "prediction")
 
