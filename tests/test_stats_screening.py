@@ -26,6 +26,15 @@ def test_median_of_few_distinct_values(frame):
     assert exact_median(df, ["k"]).first()["median"] == 1.0
 
 
+def test_median_of_a_large_group_stays_spread(frame):
+    """No join deals the rows of a large group to one task; a null key is a group like any other."""
+    values = [float(v * 7919 % 30011) for v in range(30011)]
+    df = frame("k string, value double", [(k, v) for k in ("hot", None) for v in values] + [("cold", 2.0)])
+    found = exact_median(df, ["k"])
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert dict(rows(found)) == {"hot": 15005.0, None: 15005.0, "cold": 2.0}
+
+
 def test_column_statistics(frame):
     df = frame("entity string, period int, x double", [("e", 3, None), ("e", 1, 1.0), ("e", 2, 4.0)])
     assert rows(ST.column_statistics(df, ["x"])) == [
