@@ -28,7 +28,8 @@ from panelwright.models.tuning import PARAM_GRIDS, TuningResult, tune
 from panelwright.sources.files import path_exists
 
 
-TASK_BYTES = 1 << 20
+#: A training task gets no less than the first number of bytes of rows, and no more than the second.
+TASK_BYTES, MOST_TASK_BYTES = 1 << 20, 32 << 20
 
 
 @dataclass
@@ -43,6 +44,23 @@ class Trained:
     tuning: dict[str, TuningResult]
 
 
+def training_tasks(n_rows: int, n_columns: int, cores: int) -> int:
+    """No more tasks than there are megabytes; from as many as cores on, a multiple of these, so no core waits for a last few."""
+    size = n_rows * n_columns * 8
+    return min(-(-size // TASK_BYTES), cores * -(-size // (cores * MOST_TASK_BYTES)))
+
+
+def evenly_spread(rows: DataFrame, n_rows: int) -> DataFrame:
+    """The rows in tasks of one size, their place and order a matter of their values alone.
+
+    Trees pass over them hundreds of times, each time as long as the largest task or
+    the last wave of tasks; a forest's draws hang on place and order.
+    """
+    columns = [col(c) for c in rows.columns]
+    tasks = training_tasks(n_rows, len(columns), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, *columns).sortWithinPartitions(*columns)
+
+
 def train_models(train: DataFrame, test: DataFrame, features: list[str], target: str,
                  specs: list[ModelSpec] | None = None, tune_first: bool = False, folds: str | None = None,
                  keys: list[str] = ["entity", "period"], seed: int = SEED,
@@ -56,12 +74,16 @@ def train_models(train: DataFrame, test: DataFrame, features: list[str], target:
         raise ValueError("the target cannot be a feature")
     needed = [*keys, *features, target, *([folds] if folds else [])]
     narrow = train.select(*[col(c) for c in needed]).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [narrow]
     try:
         wanted = specs or default_specs()
-        scaling = fit_scaling(narrow, features, target,
-                              count_distinct=not all(s.linear for s in wanted))
-        # iterative learners run hundreds of jobs over these rows: no more tasks than there are megabytes
-        dense = narrow.coalesce(-(-scaling.n_rows * len(needed) * 8 // TASK_BYTES))
+        linear = all(s.linear for s in wanted)
+        scaling = fit_scaling(narrow, features, target, count_distinct=not linear)
+        if linear:
+            dense = narrow.coalesce(-(-scaling.n_rows * len(needed) * 8 // TASK_BYTES))
+        else:
+            dense = evenly_spread(narrow, scaling.n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(dense)
         models, tuning = {}, {}
         for spec in wanted:
             if tune_first:
@@ -72,7 +94,8 @@ def train_models(train: DataFrame, test: DataFrame, features: list[str], target:
             else:
                 models[spec.name] = fit_model(spec, dense, features, target, scaling, seed)
     finally:
-        narrow.unpersist()
+        for rows in held:
+            rows.unpersist()
     scored = score_models(test.select(*[col(c) for c in [*keys, *features, target]]), models,
                           features, keep=[*keys, target])
     return Trained(

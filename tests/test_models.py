@@ -242,6 +242,27 @@ def test_tree_queries_boost_a_hundred_rounds(spark):
     assert [s.getNumTrees for s in model.stages if hasattr(s, "getNumTrees")] == [100]
 
 
+# rows of trees over tasks
+
+
+def test_training_tasks_fill_the_cores_evenly(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    mega = 1 << 17  # rows of one column that make a megabyte
+    assert [TR.training_tasks(n, 1, 12) for n in (1, 5 * mega, 13 * mega, 12 * 32 * mega, 12 * 32 * mega + 1)] == [1, 5, 12, 12, 24]
+    monkeypatch.setattr(TR, "TASK_BYTES", 1024)
+    uneven = spark.range(8000, numPartitions=cores + 1).where("id < 3000 or id % 3 = 0")
+    sizes = [r["n"] for r in TR.evenly_spread(uneven, uneven.count()).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == cores and max(sizes) < 1.15 * sum(sizes) / cores
+
+
+def test_forest_draws_do_not_hang_on_the_layout_of_the_rows(data):
+    train, test = temporal_split(data, 1999)
+    spec = [LN.ModelSpec("RandomForest", "RandomForest", {"n_estimators": 5, "max_depth": 3})]
+    got = [rows(TR.train_models(t, test, FEATURES, "y", spec).predictions.select("period", "prediction"), "period")
+           for t in (train, train.orderBy(F.desc("period")), train.repartition(3, "period"))]
+    assert got[0] == got[1] == got[2]
+
+
 # trees cut out of larger ones
 
 
