@@ -110,6 +110,90 @@ def test_scores_match_dictionaries(spark):
     assert 1 < len(frequent) <= 13 and "the" in hot and "only1" not in frequent
 
 
+def whole_scores_by_hand(rows, spec):
+    """(doc_id, learned) -> score where every token has features of the previous word, the skipped one and both, with dictionaries."""
+    cls, group = lambda w: code(w) % spec.classes, lambda c: c % spec.groups
+    count, totals, follow = Counter(), Counter(), defaultdict(Counter)
+
+    def histories(ts, i):
+        one, two = (ts[i - k] if i >= k else END for k in (1, 2))
+        return ("bigram", one), ("skip", two), ("both", one, two)
+
+    for _, text, learns in rows:
+        ts = tokens_of(text)
+        for i, t in enumerate(ts if learns else []):
+            count[t] += 1
+            totals[cls(t)] += 1
+            for h in histories(ts, i):
+                follow[h][cls(t)] += 1
+    least = spec.hot_share * sum(count.values())
+    bias = {c: (totals[c] + 1) / (sum(count.values()) + spec.classes) for c in range(spec.classes)}
+    mass = {g: sum(b for c, b in bias.items() if group(c) == g) for g in range(spec.groups)}
+
+    def is_split(h):
+        return all(count[w] > least for w in h[1:]) and (h[0] != "both" or sum(follow[h].values()) > least)
+
+    def by_class(h):
+        counts = follow[h]
+        if not is_split(h):
+            return softmax_at_optimum(counts, bias, spec.discount)
+        outer, out = softmax_at_optimum({g: sum(n for c, n in counts.items() if group(c) == g) for g in mass}, mass, spec.discount), {}
+        for g in mass:
+            inner = softmax_at_optimum({c: n for c, n in counts.items() if group(c) == g},
+                                       {c: b / mass[g] for c, b in bias.items() if group(c) == g}, spec.discount)
+            out |= {c: outer[g] * p for c, p in inner.items()}
+        return out
+
+    tables, out = {}, []
+    for doc_id, text, learns in rows:
+        ts, score = tokens_of(text), 0.0
+        for i, t in enumerate(ts):
+            hs = histories(ts, i)
+            if hs[2] not in tables:
+                n = [sum(follow[h].values()) for h in hs]
+                weights = [s * n / (n + k) for s, n, k in zip(spec.shares, n, spec.trust, strict=True)]
+                weights = weights if sum(weights) else [1, 0, 0]
+                each = [by_class(h) for h in hs]
+                tables[hs[2]] = {c: sum(w * p[c] for w, p in zip(weights, each, strict=True)) / sum(weights) for c in bias}
+                assert math.isclose(sum(tables[hs[2]].values()), 1)
+            score += math.log10(tables[hs[2]][cls(t)] * max(count[t], 1) / (totals[cls(t)] + 1))
+        out.append((doc_id, learns, len(ts), score))
+    return out, {h for h in follow if is_split(h)}
+
+
+WHOLE = lm.NgramSpec(classes=256, groups=4, hot_share=0.01, block_chars=3000, part_chars=4000)
+
+
+def check_whole(docs, learns, spec=WHOLE):
+    rows = [tuple(r) for r in docs.select("doc_id", "text", F.coalesce(learns, F.lit(False))).collect()]
+    want, split = whole_scores_by_hand(rows, spec)
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = sorted(key((r["doc_id"], r["learned"], r["n_tokens"], r["score"])) for r in lm.score(docs, learns, spec).collect())
+    want = sorted(map(key, want))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4] for g in got], [w[4] for w in want], rtol=1e-5, atol=1e-4)
+    return split
+
+
+def test_every_token_has_all_features(spark):
+    """By default no word is too frequent for features of the skipped word and of both words."""
+    texts = [prose(i % 5, 30 + 7 * i) + " the end of the line the " * (i % 4) + f" only{i} the rare{i} x only{i + 1}" for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id")
+    split = check_whole(docs, F.col("doc_id") % 4 != 0)
+    assert {"bigram", "skip", "both"} == {h[0] for h in split}
+    awkward = awkward_docs(spark).unionByName(awkward_docs(spark).where("doc_id = 8").withColumn("doc_id", F.lit(70).cast("long")))
+    check_whole(awkward, F.col("doc_id") % 3 != 0)
+    check_whole(awkward, F.lit(False))
+
+
+def test_skipped_word_after_frequent_words(spark):
+    """What follows "the" is told by the word before it; all words are frequent."""
+    texts = ["red the apple", "green the pear"] * 40 + ["red the pear", "red the apple"]
+    docs = spark.createDataFrame([(i, x, i < 80) for i, x in enumerate(texts)], "doc_id long, text string, learns boolean")
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, F.col("learns")).collect()}
+    assert got[81] > got[80] + 0.5
+
+
 def test_frequent_words_are_counted_in_all_training_texts(spark):
     """The commonest word stands in one text; texts not learned from don't count."""
     texts = [f"a b c w{i}" for i in range(60)] + ["zz " * 500] + ["held " * 900]
